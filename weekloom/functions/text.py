@@ -1,9 +1,8 @@
 """Cleaning of titles, names and keys with native string expressions.
 
 Java regex flags: ``i`` case-insensitive, ``u`` Unicode case, ``U`` Unicode
-classes, ``d`` only ``\\n`` ends a line (so ``.`` and ``$`` behave as in POSIX
-style engines).  ``U`` leaves the four ASCII separators out of ``\\s``; they
-are listed beside it.
+classes, ``d`` only ``\\n`` ends a line.  ``U`` leaves the four ASCII separators
+out of ``\\s``; they are listed beside it.
 """
 
 from __future__ import annotations
@@ -17,19 +16,24 @@ BRACKETED_PART = r"\s*\[.*?]|\(.*?\)$"
 DOUBLED_QUOTE = r'""'
 EDGE_QUOTES = r"""^['"“”‘’]+|['"“”‘’]+$"""
 SPACE_RUN = r"\s+"
-NAME_SEPARATOR = r"\s*,\s*"
+NAME_SEPARATOR = ","
+
+# The white space characters of Unicode.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
-_FLAGS = "(?iuUd)"
 _SPACE = r"[\s\x1c-\x1f]"
 
 
-def _java(pattern: str) -> str:
-    return _FLAGS + pattern.replace(r"\s", _SPACE)
+def _java(pattern: str, flags: str = "(?Ud)") -> str:
+    return flags + pattern.replace(r"\s", _SPACE)
 
 
 def strip_space(c: Column) -> Column:
     """Trim every kind of white space at both ends, not only blanks."""
-    return F.regexp_replace(c, _java(r"^\s+|\s+\z"), "")
+    return F.trim(c, F.lit(WHITE_SPACE))
 
 
 def tidy(c: Column) -> Column:
@@ -37,8 +41,8 @@ def tidy(c: Column) -> Column:
     quotes, blanks collapsed.  Null becomes the empty string, so that the
     empty-key filter drops it."""
     s = F.coalesce(c.cast("string"), F.lit(""))
-    for pattern in (FEATURING_TAIL, BRACKETED_PART):
-        s = F.regexp_replace(s, _java(pattern), "")
+    s = F.regexp_replace(s, _java(FEATURING_TAIL, "(?iuUd)"), "")
+    s = F.regexp_replace(s, _java(BRACKETED_PART), "")
     s = F.replace(s, F.lit(DOUBLED_QUOTE), F.lit('"'))
     s = F.regexp_replace(s, _java(EDGE_QUOTES), "")
     return F.trim(F.regexp_replace(s, _java(SPACE_RUN), " "))
@@ -46,7 +50,7 @@ def tidy(c: Column) -> Column:
 
 def primary_artist(c: Column) -> Column:
     """The part before the first comma."""
-    return strip_space(F.split(strip_space(c), _java(NAME_SEPARATOR), 2)[0])
+    return strip_space(F.substring_index(c, NAME_SEPARATOR, 1))
 
 
 def clean_key(c: Column) -> Column:

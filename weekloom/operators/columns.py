@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
@@ -41,6 +41,13 @@ NON_FEATURES = (
 NEAR_CONSTANT_RATIO = 0.01
 
 
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are evaluated exactly once per row.  A plain projection
+    may be merged into every expression or filter that uses its result, which
+    repeats costly work; a generator keeps its place in the plan."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def snake(name: str, prefix: str = "spotify_") -> str:
     return prefix + name.lower().replace(" ", "_")
 

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weekloom.operators.windows import centered_ma, series_window, whole_series, with_position
+from weekloom.operators.columns import computed_once
+from weekloom.operators.windows import centered_ma, whole_series, with_position
+from weekloom.session import spread
 
 PERIOD = 52
 ACF_LAGS = 52
@@ -47,23 +49,28 @@ def usable_lags(n: Column, lags: int) -> Column:
 def acf_arrays(
     df: DataFrame, keys: Sequence[str] = ("genre",), date: str = "date", value: str = "total", lags: int = ACF_LAGS
 ) -> DataFrame:
-    """Per series ``n``, ``lags`` and ``acf`` (lag 0 first).  One window pass
-    pairs each point with its successors, one aggregation sums the products."""
-    w, all_rows = series_window(keys, date), whole_series(keys, date)
-    centred = (
-        df.withColumn("_n", F.count(F.lit(1)).over(all_rows))
-        .withColumn("_c", F.col(value) - F.avg(value).over(all_rows))
-    )
-    paired = centred.select(*keys, "_n", "_c", *[F.lead("_c", k).over(w).alias(f"_c{k}") for k in range(1, lags + 1)])
-    sums = paired.groupBy(*keys).agg(
-        F.max("_n").alias("n"),
-        F.sum(F.col("_c") * F.col("_c")).alias("_s0"),
-        *[F.coalesce(F.sum(F.col("_c") * F.col(f"_c{k}")), F.lit(0.0)).alias(f"_s{k}") for k in range(1, lags + 1)],
+    """Per series ``n``, ``lags`` and ``acf`` (lag 0 first).  A weekly series is
+    an array no longer than the calendar; products with its own shifts are
+    array functions on it."""
+    points = F.array_sort(F.collect_list(F.struct(F.col(date), F.col(value).cast("double").alias("v"))))
+    series = spread(df.select(*keys, date, value), *keys).groupBy(*keys).agg(
+        points.alias("_p"),
+        F.count(F.lit(1)).alias("n"),
+        F.avg(value).alias("_mean"),
+        (F.var_pop(value) * F.count(value)).alias("_s0"),
     )
-    ratios = F.transform(F.array(*[f"_s{k}" for k in range(lags + 1)]), lambda s: s / F.nullif(F.col("_s0"), F.lit(0.0)))
     used = usable_lags(F.col("n"), lags)
-    return sums.filter(F.col("n") >= used + 2).select(
-        *keys, "n", used.alias("lags"), F.slice(ratios, F.lit(1), used + 1).alias("acf")
+    centred = computed_once(
+        series, _c=F.transform("_p", lambda p: p["v"] - F.col("_mean")), lags=used, _len=F.col("n").cast("int")
+    )
+
+    def at_lag(k: Column) -> Column:
+        products = F.zip_with("_c", F.slice("_c", k + 1, F.col("_len")), lambda a, b: a * b)
+        total = F.aggregate(products, F.lit(0.0), lambda s, v: s + F.coalesce(v, F.lit(0.0)))
+        return total / F.nullif(F.col("_s0"), F.lit(0.0))
+
+    return centred.filter(F.col("n") >= F.col("lags") + 2).select(
+        *keys, "n", "lags", F.transform(F.sequence(F.lit(0), F.col("lags")), at_lag).alias("acf")
     )
 
 
@@ -101,7 +108,7 @@ def pacf_of(r: Column) -> Column:
 
 def pacf(df: DataFrame, keys: Sequence[str] = ("genre",), **kw) -> DataFrame:
     """Partial autocorrelation as (series, lag, pacf) rows from lag 1 on."""
-    arrays = acf_arrays(df, keys, **kw)
-    return arrays.select(*keys, F.posexplode(pacf_of(F.col("acf"))).alias("pos", "pacf")).select(
+    arrays = computed_once(acf_arrays(df, keys, **kw), _r=F.col("acf"))
+    return arrays.select(*keys, F.posexplode(pacf_of(F.col("_r"))).alias("pos", "pacf")).select(
         *keys, (F.col("pos") + 1).alias("lag"), "pacf"
     )

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec, Window
 from pyspark.sql import functions as F
 
 from weekloom.operators.scoring import mape
+from weekloom.session import spread
 from weekloom.operators.windows import TEST_WEEKS, holdout_last_n, min_history_gate, series_window, whole_series
 
 # Moving-average windows that are compared.
@@ -169,7 +170,7 @@ def seasonal_ar(
 
     types = dict(ready.dtypes)
     schema = ", ".join(f"{c} {types[c]}" for c in [*keys, date]) + ", sarima_order string, actual double, predicted double"
-    return ready.select(*keys, date, value).groupBy(*keys).applyInPandas(fit, schema)
+    return spread(ready.select(*keys, date, value), *keys).groupBy(*keys).applyInPandas(fit, schema)
 
 
 # The tuning grid of the trend-and-season model.
@@ -253,7 +254,8 @@ def grid_tuned_trend_season(
         ", ".join(f"{c} {types[c]}" for c in [*keys, date])
         + ", cps double, sps double, mode string, role string, actual double, predicted double"
     )
-    fitted = combos.groupBy(*keys, "cps", "sps", "mode").applyInPandas(fit, schema)
+    parts = [*keys, "cps", "sps", "mode"]
+    fitted = spread(combos, *parts).groupBy(*parts).applyInPandas(fit, schema)
     role = "valid" if tune_on == "train_tail" else "test"
     tuned = fitted.groupBy(*keys, "cps", "sps", "mode").agg(
         mape(F.when(F.col("role") == role, F.col("actual")), F.col("predicted")).alias("m"),

@@ -59,8 +59,11 @@ def pending_anti(tasks: DataFrame, done: DataFrame, keys: list[str] = ("song", "
 
 
 def top_semi(df: DataFrame, top: DataFrame, key: str = "genre") -> DataFrame:
-    """Rows of the series named in ``top``."""
-    return df.join(top.select(key), key, "left_semi")
+    """Rows of the series named in ``top``.  An inner join with the distinct
+    names: a semi join would be pushed below the aggregation that made ``df``,
+    which then no longer matches the one ``top`` was made from, and the raw
+    rows would be read twice instead of reusing one shuffle."""
+    return df.join(top.select(key).distinct(), key)
 
 
 def align_on_dates(df: DataFrame, keys: list[str], actual: str, predicted: str) -> DataFrame:

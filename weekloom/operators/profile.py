@@ -15,7 +15,7 @@ from weekloom.session import estimated_bytes
 QUARTILES = (0.25, 0.5, 0.75)
 HISTOGRAM_BINS = 30
 WHISKER_IQR = 1.5
-GATHER_LIMIT_BYTES = 256 * 1024 * 1024
+GATHER_LIMIT_BYTES = 32 * 1024 * 1024
 
 _SLOTS = 4096
 _SKETCH_ACCURACY = 10_000
@@ -154,9 +154,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS)
     """Counts in equal-width bins from each column's minimum to its maximum,
     the maximum in the last bin; empty bins are listed."""
     columns = list(columns)
-    ranges = _per_column(
-        df, columns, lo=lambda c: F.min(c.cast("double")), hi=lambda c: F.max(c.cast("double"))
-    ).filter("lo IS NOT NULL")
+    ranges = _per_column(df, columns, lo=lambda c: F.min(c.cast("double")), hi=lambda c: F.max(c.cast("double")))
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
     share = (F.col("v") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
     bin_no = F.coalesce(F.least(F.floor(share * bins), F.lit(bins - 1)), F.lit(bins // 2)).cast("int")
@@ -167,13 +165,16 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS)
         .dropna()
         .withColumn("r", known[F.col("column")])
         .select("column", "v", "r.lo", "r.hi")
-        .groupBy("column", bin_no.alias("bin"))
+        .groupBy("column", "lo", "hi", bin_no.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    grid = ranges.select("column", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    filled = counts.groupBy("column", "lo", "hi").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("m"))
     step = (F.col("hi") - F.col("lo")) / bins
-    return grid.join(counts, ["column", "bin"], "left").select(
-        "column", "bin", (F.col("lo") + F.col("bin") * step).alias("bin_start"), F.coalesce("n", F.lit(0)).alias("n")
+    return filled.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")).select(
+        "column",
+        "bin",
+        (F.col("lo") + F.col("bin") * step).alias("bin_start"),
+        F.coalesce(F.try_element_at("m", F.col("bin")), F.lit(0)).alias("n"),
     )
 
 

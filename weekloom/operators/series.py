@@ -11,9 +11,10 @@ from weekloom.functions.dates import month_end, week_end
 from weekloom.operators.windows import series_window
 
 
-def _fill_gaps(weekly: DataFrame, keys: Sequence[str], date: str, value: str) -> DataFrame:
-    """Each row also emits the empty weeks up to its successor.  One window
-    pass; no calendar table and no join."""
+def fill_missing_weeks(weekly: DataFrame, keys: Sequence[str], date: str = "date", value: str = "total") -> DataFrame:
+    """Weekly rows (one per series and week) with the missing weeks added as 0.
+    Each row also emits the empty weeks up to its successor: one window pass,
+    no calendar table and no join."""
     following = F.lead(date).over(series_window(keys, date))
     weeks = F.sequence(F.col(date), F.coalesce(F.date_sub("_next", 7), F.col(date)), F.expr("interval 7 days"))
     return (
@@ -27,7 +28,7 @@ def resample_weekly_fill0(df: DataFrame, keys: Sequence[str], date: str = "date"
     """Sum per series and Sunday-ending week, weeks without rows as 0, from each
     series' first week to its last."""
     weekly = df.groupBy(*keys, week_end(F.col(date)).alias(date)).agg(F.sum(value).alias(value))
-    return _fill_gaps(weekly, keys, date, value)
+    return fill_missing_weeks(weekly, keys, date, value)
 
 
 def asfreq_fill0(df: DataFrame, keys: Sequence[str] = (), date: str = "date", value: str = "total") -> DataFrame:
@@ -35,8 +36,8 @@ def asfreq_fill0(df: DataFrame, keys: Sequence[str] = (), date: str = "date", va
     missing weeks are 0."""
     on_grid = df.filter(F.dayofweek(date) == 1)
     if keys:
-        return _fill_gaps(on_grid, keys, date, value)
-    one = _fill_gaps(on_grid.withColumn("_series", F.lit(1)), ["_series"], date, value)
+        return fill_missing_weeks(on_grid, keys, date, value)
+    one = fill_missing_weeks(on_grid.withColumn("_series", F.lit(1)), ["_series"], date, value)
     return one.drop("_series")
 
 

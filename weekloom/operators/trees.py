@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.operators.columns import feature_columns
+from weekloom.session import scratch_path
 from weekloom.operators.windows import (
     MIN_HISTORY,
     TEST_WEEKS,
@@ -91,8 +92,14 @@ def tuned_ensemble(
     features = [c for c in feature_columns(rows, target) if c not in {*keys, "rn", "n", "fold", "is_test"}]
     filled = rows.fillna(0, subset=[*features, target])
     assembled = VectorAssembler(inputCols=features, outputCol="_x").transform(filled)
-    assembled = assembled.select(*keys, date, "fold", "is_test", F.col(target).cast("double").alias("_y"), "_x").persist()
-    train = assembled.filter(~F.col("is_test"))
+    # Every fit reads the rows again: a table cuts the lineage, survives lost
+    # executors, and its fold partitions make a fold's rows a file choice.
+    path = scratch_path(df.sparkSession, "model-rows")
+    fold = F.when(F.col("is_test"), F.lit(SPLITS + 1)).otherwise(F.col("fold")).alias("fold")
+    columns = [*keys, date, fold, F.col(target).cast("double").alias("_y"), "_x"]
+    assembled.select(*columns).hint("rebalance", "fold").write.partitionBy("fold").parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    train = stored.filter(F.col("fold") <= SPLITS)
 
     def fit(params: dict, data: DataFrame):
         return estimator(featuresCol="_x", labelCol="_y", predictionCol="predicted", seed=seed, **fixed, **params).fit(data)
@@ -115,7 +122,7 @@ def tuned_ensemble(
     chosen = ", ".join(f"{k}={v:.4g}" for k, v in params.items())
     return (
         fit(params, train)
-        .transform(assembled.filter("is_test"))
+        .transform(stored.filter(F.col("fold") == SPLITS + 1))
         .select(*keys, date, F.col("_y").alias("actual"), "predicted", F.lit(chosen).alias("best_params"))
     )
 

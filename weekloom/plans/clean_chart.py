@@ -9,7 +9,7 @@ from weekloom.functions.dates import week_period
 from weekloom.functions.numbers import to_number
 from weekloom.functions.text import primary_artist, tidy
 from weekloom.operators.aggregates import unique_tracks, weekly_mean
-from weekloom.operators.columns import numeric_columns
+from weekloom.operators.columns import computed_once, numeric_columns
 from weekloom.operators.rows import drop_bad_dates, drop_empty_keys
 from weekloom.sources.readers import CHART_REQUIRED, require_columns
 
@@ -19,8 +19,10 @@ WEEK_KEYS = ["year_week", "artist", "song"]
 def clean_rows(raw: DataFrame) -> DataFrame:
     """Tidy names, parsed dates, rows without a usable key or date dropped."""
     require_columns(raw.columns, CHART_REQUIRED)
-    named = drop_bad_dates(raw, "Date").withColumns(
-        {"artist": primary_artist(tidy(F.col("Artists"))), "song": tidy(F.col("Song Title"))}
+    named = computed_once(
+        drop_bad_dates(raw, "Date"),
+        artist=primary_artist(tidy(F.col("Artists"))),
+        song=tidy(F.col("Song Title")),
     )
     return drop_empty_keys(named, "artist", "song").withColumn("year_week", week_period(F.col("Date")))
 

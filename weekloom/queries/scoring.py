@@ -64,12 +64,13 @@ def _genre_naive_report(spark, d):
 )
 def _combine_metrics(spark, d):
     folder = scratch_path(spark, "metrics")
-    rows = forecasts(spark, d)
+    scores = scored(spark, d).persist()
     for model, name in (("Naive", "genre_naive"), ("MovingAverage", "BEST_genre_ma"), ("Autoregression", "genre_sarima")):
-        scores = evaluate_forecast(rows.filter(F.col("model") == model), ["genre"])
+        part = scores.filter(F.col("model") == model).drop("model")
         if model == "Autoregression":
-            scores = scores.withColumn("sarima_order", F.lit("(1,1,0)"))
-        write_table(scores, f"{folder}/{name}_metrics_top10_test8", "csv")
+            part = part.withColumn("sarima_order", F.lit("(1,1,0)"))
+        write_table(part, f"{folder}/{name}_metrics_top10_test8", "csv")
+    scores.unpersist()
     return combine_metrics(spark, folder)
 
 
@@ -85,7 +86,7 @@ def _combine_metrics(spark, d):
 )
 def _combine_predictions(spark, d):
     folder = scratch_path(spark, "predictions")
-    rows = forecasts(spark, d).filter("model <> 'Autoregression' OR date >= DATE '2001-10-14'")
+    rows = forecasts(spark, d).filter("model <> 'Autoregression' OR date >= DATE '2001-10-14'").persist()
     for model, name, column in (
         ("Naive", "genre_naive", "naive"),
         ("MovingAverage", "BEST_genre_ma4", "best_ma"),
@@ -96,6 +97,7 @@ def _combine_predictions(spark, d):
             F.lit(0.0).alias("unused"),
         )
         write_table(part, f"{folder}/{name}_predictions_top10_test8", "csv")
+    rows.unpersist()
     return combine_predictions(spark, folder)
 
 

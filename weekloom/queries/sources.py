@@ -1,14 +1,13 @@
 from pyspark.sql import functions as F
 
-from weekloom.operators.scoring import evaluate_forecast
 from weekloom.queries.registry import query
 from weekloom.queries.stand_ins import (
     GENRE_SQL,
     RAW_SQL,
     SCORED_SQL,
-    forecasts,
     genre_weekly,
     raw_chart,
+    scored,
     table,
 )
 from weekloom.session import scratch_path
@@ -76,10 +75,11 @@ def _read_projected(spark, d):
 )
 def _scan_many_files(spark, d):
     folder = scratch_path(spark, "results")
-    rows = forecasts(spark, d)
+    scores = scored(spark, d).persist()
     for model, name in (("Naive", "genre_naive"), ("MovingAverage", "genre_ma"), ("Autoregression", "combined_ar")):
-        scores = evaluate_forecast(rows.filter(F.col("model") == model), ["genre"])
-        write_table(scores, f"{folder}/{name}_metrics_test8", "csv")
+        part = scores.filter(F.col("model") == model).drop("model")
+        write_table(part, f"{folder}/{name}_metrics_test8", "csv")
+    scores.unpersist()
     return scan_result_files(spark, folder, "metrics")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from weekloom.functions.dates import week_end
 from weekloom.operators.aggregates import genre_weekly_sum_of_facts
-from weekloom.operators.series import resample_weekly_fill0
+from weekloom.operators.series import fill_missing_weeks
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -129,7 +129,7 @@ split AS (SELECT *, row_number() OVER (PARTITION BY genre ORDER BY date) AS rn,
 
 def genre_grid(spark: SparkSession, d: str) -> DataFrame:
     """Weekly total per genre without gaps."""
-    return resample_weekly_fill0(genre_weekly(spark, d), ["genre"])
+    return fill_missing_weeks(genre_weekly(spark, d), ["genre"])
 
 
 # --- forecasts and their scores ---------------------------------------------
@@ -176,7 +176,7 @@ def forecasts(spark: SparkSession, d: str) -> DataFrame:
     """Forecasts of the families that need no fitted model, all genres."""
     from weekloom.plans.genre_forecast import all_forecasts
 
-    return all_forecasts(genre_weekly(spark, d), 10_000, fitted=False)
+    return all_forecasts(genre_weekly(spark, d), None, fitted=False)
 
 
 def scored(spark: SparkSession, d: str) -> DataFrame:

@@ -39,6 +39,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partitioned by key into the session's full number of shuffle
+    partitions.  For steps that compute much on few bytes, whose partitions AQE
+    would otherwise merge into one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's own size estimate of the optimised plan."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
