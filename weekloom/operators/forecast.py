@@ -8,18 +8,23 @@ series per call, and a series is never longer than the calendar.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Sequence
 from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, WindowSpec, Window
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from weekloom.operators.scoring import mape
 from weekloom.session import spread
 from weekloom.operators.windows import TEST_WEEKS, holdout_last_n, min_history_gate, series_window, whole_series
 
+# The fit functions travel with their task: executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Moving-average windows that are compared.
 MA_WINDOWS = (2, 3, 4, 6, 8, 12)
 
@@ -114,33 +119,38 @@ def _lagged(x: np.ndarray, lag: int) -> np.ndarray:
     return out
 
 
-def _one_step(history: np.ndarray, season: int) -> tuple[float, str]:
-    """Next value by the least-squares seasonal ARMA with the lowest AIC on the
-    (possibly once differenced) history."""
-    d = int(np.var(np.diff(history)) < np.var(history))
+def _best_order(history: np.ndarray, d: int, season: int) -> tuple[float, float, str]:
+    """Score, next value and order of the least-squares seasonal ARMA with the
+    lowest BIC, on the history (``d`` 0) or its changes (``d`` 1).  Shocks for
+    the moving-average terms are the residuals of a longer autoregression."""
     x = np.append(np.diff(history) if d else history, np.nan)  # last slot: the week to predict
-    shocks = np.zeros(len(x))
     lags = np.column_stack([_lagged(x, k) for k in range(1, 5)] + [np.ones(len(x))])
     known = ~np.isnan(lags).any(axis=1) & ~np.isnan(x)
-    beta = np.linalg.lstsq(lags[known], x[known], rcond=None)[0]
-    shocks[known] = x[known] - lags[known] @ beta
+    shocks = np.zeros(len(x))
+    shocks[known] = x[known] - lags[known] @ np.linalg.lstsq(lags[known], x[known], rcond=None)[0]
     terms = {
         "p1": _lagged(x, 1), "p2": _lagged(x, 2), "P1": _lagged(x, season),
         "q1": _lagged(shocks, 1), "Q1": _lagged(shocks, season), "c": np.ones(len(x)),
     }
     common = ~np.isnan(np.column_stack(list(terms.values()))).any(axis=1) & ~np.isnan(x)
-    best = (np.inf, history[-1], "")
-    for p, q, sp, sq in product(*[range(m + 1) for m in MAX_ORDER]):
-        names = ["p1", "p2"][:p] + ["q1"] * q + ["P1"] * sp + ["Q1"] * sq + ["c"]
-        design = np.column_stack([terms[t] for t in names])
+    if not d:
+        common[np.flatnonzero(common)[:1]] = False  # the same weeks as for the changes
+    n, best = int(common.sum()), (np.inf, float(history[-1]), "")
+    for p, q, sp, sq, const in product(*[range(m + 1) for m in (*MAX_ORDER, 1)]):
+        names = ["p1", "p2"][:p] + ["q1"] * q + ["P1"] * sp + ["Q1"] * sq + ["c"] * const
+        design = np.column_stack([terms[t] for t in names]) if names else np.zeros((len(x), 1))
         beta = np.linalg.lstsq(design[common], x[common], rcond=None)[0]
         rss = float(np.sum((x[common] - design[common] @ beta) ** 2))
-        n = int(common.sum())
-        aic = n * np.log(max(rss, 1e-12) / n) + 2 * len(names)
-        if aic < best[0]:
+        bic = n * np.log(max(rss, 1e-12) / n) + np.log(n) * len(names)
+        if bic < best[0]:
             step = float(design[-1] @ beta)
-            best = (aic, history[-1] + step if d else step, f"({p},{d},{q}),({sp},0,{sq},{season})")
-    return best[1], best[2]
+            best = (bic, float(history[-1]) + step if d else step, f"({p},{d},{q}),({sp},0,{sq},{season})")
+    return best
+
+
+def _one_step(history: np.ndarray, season: int) -> tuple[float, str]:
+    """Next value and order of the better of the two differencing choices."""
+    return min(_best_order(history, d, season) for d in (0, 1))[1:]
 
 
 def seasonal_ar(
@@ -179,6 +189,7 @@ SEASONALITY_SCALES = (0.1, 1.0, 10.0, 20.0)
 SEASONALITY_MODES = ("additive", "multiplicative")
 _YEAR, _WEEK = (365.25, 10), (7.0, 3)  # period in days, Fourier order
 _CHANGEPOINTS = 25
+_NOISE = 0.25  # variance of the scaled series that the priors are weighed against
 
 
 def _trend_basis(t: np.ndarray, knots: np.ndarray) -> np.ndarray:
@@ -203,10 +214,9 @@ def _trend_season(
     start, span = days[0], float(days[-1] - days[0]) or 1.0
     t, tf = (days - start) / span, (future - start) / span
     knots = np.linspace(0, 0.8, min(_CHANGEPOINTS, max(len(y) // 2, 1)) + 1)[1:]
-    noise = 0.05**2
     trend_x, season_x, target = _trend_basis(t, knots), _season_basis(days), y / scale
-    trend_pen = np.r_[1e-8, 1e-8, np.full(len(knots), noise / changepoint**2)]
-    season_pen = np.full(season_x.shape[1], noise / season**2)
+    trend_pen = np.r_[1e-8, 1e-8, np.full(len(knots), _NOISE / changepoint**2)]
+    season_pen = np.full(season_x.shape[1], _NOISE / season**2)
     fx, fs = _trend_basis(tf, knots), _season_basis(future)
     if mode == "multiplicative":
         level = _ridge(trend_x, target, trend_pen)
@@ -215,6 +225,11 @@ def _trend_season(
     return np.hstack([fx, fs]) @ beta * scale
 
 
+def _percent_error(actual: np.ndarray, predicted: np.ndarray) -> float:
+    counted = actual != 0
+    return float(np.mean(np.abs((actual - predicted)[counted] / actual[counted]))) if counted.any() else np.inf
+
+
 def grid_tuned_trend_season(
     df: DataFrame, keys: Sequence[str] = ("genre",), date: str = "date", value: str = "total",
     test_weeks: int = TEST_WEEKS, tune_on: str = "train_tail",
@@ -223,48 +238,30 @@ def grid_tuned_trend_season(
 
     Works on the rows as they are (a missing week stays missing).  Combinations
     are compared by MAPE on the last training weeks, or on the test weeks
-    themselves with ``tune_on="test"``.  Each (series, combination) is a group
-    of its own, so few series still use many tasks."""
+    themselves with ``tune_on="test"``; the best one is fitted to the whole
+    training part."""
     keys = list(keys)
-    grid = F.array(
-        *[
-            F.struct(F.lit(c).alias("cps"), F.lit(s).alias("sps"), F.lit(m).alias("mode"))
-            for c, s, m in product(CHANGEPOINT_SCALES, SEASONALITY_SCALES, SEASONALITY_MODES)
-        ]
-    )
     ready = min_history_gate(holdout_last_n(df, keys, date, test_weeks), "prophet", test_weeks)
-    combos = ready.select(*keys, date, value, F.inline(grid))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(date)
         y = pdf[value].fillna(0).to_numpy(dtype=float)
         days = pd.to_datetime(pdf[date]).to_numpy().astype("datetime64[D]").astype(float)
-        params = tuple(pdf[["cps", "sps", "mode"]].iloc[0])
-        cut, parts = len(y) - test_weeks, []
-        for role, end in (("valid", cut - test_weeks), ("test", cut)):
-            part = pdf.iloc[end : end + test_weeks][[*keys, date, "cps", "sps", "mode"]].copy()
-            part["role"] = role
-            part["actual"] = y[end : end + test_weeks]
-            part["predicted"] = _trend_season(days[:end], y[:end], days[end : end + test_weeks], *params)
-            parts.append(part)
-        return pd.concat(parts)
-
-    types = dict(combos.dtypes)
-    schema = (
-        ", ".join(f"{c} {types[c]}" for c in [*keys, date])
-        + ", cps double, sps double, mode string, role string, actual double, predicted double"
-    )
-    parts = [*keys, "cps", "sps", "mode"]
-    fitted = spread(combos, *parts).groupBy(*parts).applyInPandas(fit, schema)
-    role = "valid" if tune_on == "train_tail" else "test"
-    tuned = fitted.groupBy(*keys, "cps", "sps", "mode").agg(
-        mape(F.when(F.col("role") == role, F.col("actual")), F.col("predicted")).alias("m"),
-        F.collect_list(F.when(F.col("role") == "test", F.struct(date, "actual", "predicted"))).alias("test"),
-    )
-    choice = F.when(F.col("m").isNotNull(), F.struct("m", "cps", "sps", "mode"))
-    best = tuned.groupBy(*keys).agg(F.min_by(F.struct("cps", "sps", "mode", "test"), choice).alias("b"))
-    return best.filter("b IS NOT NULL").select(
-        *keys,
-        F.to_json(F.struct("b.cps", "b.sps", "b.mode")).alias("best_params"),
-        F.inline("b.test"),
-    )
+        cut = len(y) - test_weeks
+        end = cut - test_weeks if tune_on == "train_tail" else cut
+
+        def forecast(upto: int, params: tuple) -> np.ndarray:
+            return _trend_season(days[:upto], y[:upto], days[upto : upto + test_weeks], *params)
+
+        grid = list(product(CHANGEPOINT_SCALES, SEASONALITY_SCALES, SEASONALITY_MODES))
+        errors = [_percent_error(y[end : end + test_weeks], forecast(end, params)) for params in grid]
+        best = grid[int(np.argmin(errors))]
+        out = pdf.iloc[cut:][[*keys, date]].copy()
+        out["best_params"] = "changepoint={}, seasonality={}, mode={}".format(*best)
+        out["actual"] = y[cut:]
+        out["predicted"] = forecast(cut, best)
+        return out
+
+    types = dict(ready.dtypes)
+    schema = ", ".join(f"{c} {types[c]}" for c in [*keys, date]) + ", best_params string, actual double, predicted double"
+    return spread(ready.select(*keys, date, value), *keys).groupBy(*keys).applyInPandas(fit, schema)

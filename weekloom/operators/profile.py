@@ -156,8 +156,9 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS)
     columns = list(columns)
     ranges = _per_column(df, columns, lo=lambda c: F.min(c.cast("double")), hi=lambda c: F.max(c.cast("double")))
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
-    share = (F.col("v") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
-    bin_no = F.coalesce(F.least(F.floor(share * bins), F.lit(bins - 1)), F.lit(bins // 2)).cast("int")
+    width = F.col("hi") - F.col("lo")
+    inside = F.least(F.floor((F.col("v") - F.col("lo")) / F.nullif(width, F.lit(0.0)) * bins), F.lit(bins - 1))
+    bin_no = F.when(width > 0, inside).otherwise(F.lit(bins // 2)).cast("int")
     # One range per column: the map is as wide as the schema.
     known = ranges.agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct("lo", "hi"))))).scalar()
     counts = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.functions.labels import split_labels
@@ -12,6 +12,7 @@ from weekloom.operators.columns import prefix_columns, select_present
 from weekloom.operators.joins import first_per_clean_key, join_by_clean_key_left, join_by_id_left, with_clean_keys
 from weekloom.operators.reshape import label_names, one_hot_multilabel
 from weekloom.operators.rows import keep_first
+from weekloom.sources.readers import INGEST_ORDER, row_order
 
 TOP_TAGS = 25
 NAMES = ["artist", "song"]
@@ -32,32 +33,32 @@ def master_features(
     acoustic: DataFrame | None = None,
     albums: DataFrame | None = None,
     tags: DataFrame | None = None,
-    order: list[str | Column] = ("artist", "song"),
     top_tags: int = TOP_TAGS,
 ) -> DataFrame:
     """One row per track with every enrichment that is given.
 
     The table keeps one row per track in the end, the first match of the first
     row.  So each side is reduced to its first row per key before it is joined:
-    copies never multiply.  Tag frequencies, which count the copies, come from
-    counts per key."""
-    order = list(order)
+    copies never multiply.  "First" is the ingest order where a table carries it
+    (see ``with_ingest_order``).  Tag frequencies, which count the copies, come
+    from counts per key."""
     keys = [*NAMES, "mbid"] if "mbid" in base.columns else NAMES
-    df = keep_first(base, keys, order)
+    df = keep_first(base, keys, row_order(base)).drop(INGEST_ORDER)
     if acoustic is not None and "mbid" in base.columns:
         id_col = "mb_recording_id" if "mb_recording_id" in acoustic.columns else "mbid"
         acoustic = acoustic.withColumnRenamed(id_col, "_acoustic_id")
-        first = keep_first(acoustic.filter("_acoustic_id IS NOT NULL"), ["_acoustic_id"], acoustic.columns)
+        first = keep_first(acoustic.filter("_acoustic_id IS NOT NULL"), ["_acoustic_id"], row_order(acoustic)).drop(INGEST_ORDER)
         df = join_by_id_left(df, prefix_columns(first, "acoustic_", ["_acoustic_id", "error"]), "mbid", "_acoustic_id")
     if albums is not None:
-        first = first_per_clean_key(albums, albums.columns, NAMES)
+        first = first_per_clean_key(albums, row_order(albums), NAMES).drop(INGEST_ORDER)
         df = join_by_clean_key_left(df, prefix_columns(first, "deezer_", NAMES), NAMES)
         df = df.withColumn("_genres", split_labels(F.col("deezer_genres"), ","))
         wanted = label_names(distinct_labels(df, "_genres"))
         df = one_hot_multilabel(df, "_genres", wanted).drop("_genres")
     if tags is not None:
-        slim = select_present(tags, TAG_COLUMNS, NAMES)
-        df = join_by_clean_key_left(df, first_per_clean_key(slim, slim.columns, NAMES), NAMES)
+        slim = select_present(tags, TAG_COLUMNS, [*NAMES, *([INGEST_ORDER] if INGEST_ORDER in tags.columns else [])])
+        first = first_per_clean_key(slim, row_order(slim), NAMES).drop(INGEST_ORDER)
+        df = join_by_clean_key_left(df, first, NAMES)
         df = df.withColumns({c: zero_to_null(to_number(F.col(c))) for c in TAG_NUMBERS if c in df.columns})
         if "lastfm_tags_str" in df.columns:
             names = [f"_k_{n}" for n in NAMES]

@@ -41,7 +41,7 @@ def weekly_with_features(weekly: DataFrame, features: DataFrame, order: list[str
     df = df.withColumns({c: to_number(F.col(c)) for c in CHART_NUMBERS if c in df.columns})
     if "spotify_weeks_on_chart" in df.columns:
         df = df.withColumn("spotify_days_on_chart", weeks_to_days(F.col("spotify_weeks_on_chart")))
-    df = keep_first(df, [*SERIES, "date"], list(order) or [F.desc_nulls_last(METRIC)])
+    df = keep_first(df, [*SERIES, "date"], list(order) or sorted(df.columns))
     df = add_time_series_features(df, metric_col=METRIC, id_cols=SERIES, lag_windows=MODEL_LAGS, roll_windows=MODEL_ROLLS)
     if RECORD_TYPE in df.columns:
         kinds = label_names(features.select(F.col(RECORD_TYPE).alias("label")).dropna().distinct())

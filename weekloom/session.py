@@ -53,6 +53,8 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def broadcast_limit(spark: SparkSession) -> int:
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    if text.lstrip("-").isdigit():
+        return int(text)
     return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 

@@ -85,6 +85,23 @@ def read_with_enrichments(
     )
 
 
+INGEST_ORDER = "ingest_seq"
+
+
+def with_ingest_order(df: DataFrame) -> DataFrame:
+    """Adds the place of each row in the files it was read from, for steps that
+    keep the first of several rows."""
+    place = F.struct(
+        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row")
+    )
+    return df.withColumn(INGEST_ORDER, place)
+
+
+def row_order(df: DataFrame) -> list[str]:
+    """What "first" means for a table: its ingest order, else all its columns."""
+    return [INGEST_ORDER] if INGEST_ORDER in df.columns else list(df.columns)
+
+
 def nonnull_keys(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.col(key).cast("string").alias(key)).dropna()
 
