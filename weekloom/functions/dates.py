@@ -25,7 +25,7 @@ def week_end(c: Column) -> Column:
 def week_period(c: Column) -> Column:
     """``monday/sunday`` text of the week of a date."""
     monday = F.date_trunc("week", c).cast("date")
-    return F.concat_ws("/", iso_date(monday), iso_date(F.date_add(monday, 6)))
+    return F.concat_ws("/", monday.cast("string"), F.date_add(monday, 6).cast("string"))
 
 
 def period_end(c: Column) -> Column:

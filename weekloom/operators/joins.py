@@ -16,8 +16,10 @@ NULL_KEY_SLOTS = 4096
 
 def spread_null_key(key: Column, spread_by: list[str]) -> Column:
     """String join key in which nulls take one of many values that match
-    nothing, so rows without a key do not meet in one task."""
-    slot = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_KEY_SLOTS)).cast("string")
+    nothing, so rows without a key do not meet in one task.  The value depends
+    on the row and on its map task: copies of one row spread over tasks too, and
+    a repeated task gives the same values."""
+    slot = F.pmod(F.xxhash64(*spread_by, F.spark_partition_id()), F.lit(NULL_KEY_SLOTS)).cast("string")
     return F.coalesce(key.cast("string"), F.concat(F.lit("\u0000"), slot))
 
 
