@@ -64,10 +64,12 @@ def _membership_filter(spark, d):
 @query(
     "series_filter",
     "date:d streams:f2",
-    f"WITH {WEEKLY_SQL} SELECT date, streams FROM weekly WHERE artist = 'Brand#4' AND song = 'blue bolt'",
+    f"WITH {WEEKLY_SQL} SELECT date, streams FROM weekly, (SELECT p_brand, p_name FROM part "
+    "ORDER BY p_partkey LIMIT 1) WHERE artist = p_brand AND song = p_name",
 )
 def _series_filter(spark, d):
-    return series_filter(weekly_tracks(spark, d), "Brand#4", "blue bolt", "streams")
+    artist, song = table(spark, d, "part").orderBy("p_partkey").select("p_brand", "p_name").first()
+    return series_filter(weekly_tracks(spark, d), artist, song, "streams")
 
 
 @query(
