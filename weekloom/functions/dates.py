@@ -18,14 +18,14 @@ def iso_date(c: Column) -> Column:
 
 
 def week_end(c: Column) -> Column:
-    """Sunday that closes the week of a date."""
-    return F.date_add(F.date_trunc("week", c).cast("date"), 6)
+    """Sunday that closes the week of a date, by day arithmetic alone."""
+    return F.next_day(F.date_sub(c, 1), "SU")
 
 
 def week_period(c: Column) -> Column:
     """``monday/sunday`` text of the week of a date."""
-    monday = F.date_trunc("week", c).cast("date")
-    return F.concat_ws("/", monday.cast("string"), F.date_add(monday, 6).cast("string"))
+    sunday = week_end(c)
+    return F.concat_ws("/", F.date_sub(sunday, 6).cast("string"), sunday.cast("string"))
 
 
 def period_end(c: Column) -> Column:

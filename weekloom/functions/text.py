@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 FEATURING_TAIL = r"\s+\(??feat\..*?$"
 BRACKETED_PART = r"\s*\[.*?]|\(.*?\)$"
 DOUBLED_QUOTE = r'""'
-EDGE_QUOTES = r"""^['"“”‘’]+|['"“”‘’]+$"""
+EDGE_QUOTES = "'\"“”‘’"
 SPACE_RUN = r"\s+"
 NAME_SEPARATOR = ","
 
@@ -36,23 +36,16 @@ def strip_space(c: Column) -> Column:
     return F.trim(c, F.lit(WHITE_SPACE))
 
 
-# Anything that one of the clean-up steps could act on.
-_NEEDS_WORK = r"""[\[("'“”‘’]|feat\.|^\s|\s$|\s\s|[\s&&[^ ]]"""
-
-
 def tidy(c: Column) -> Column:
     """Title or name without featured artists, bracketed remarks and edge
     quotes, blanks collapsed.  Null becomes the empty string, so that the
-    empty-key filter drops it.  Plain names, the most, cost one scan."""
-    raw = F.coalesce(c.cast("string"), F.lit(""))
-    return F.when(F.rlike(raw, F.lit(_java(_NEEDS_WORK, "(?iuUd)"))), _cleaned(raw)).otherwise(raw)
-
-
-def _cleaned(s: Column) -> Column:
+    empty-key filter drops it."""
+    s = F.coalesce(c.cast("string"), F.lit(""))
     s = F.regexp_replace(s, _java(FEATURING_TAIL, "(?iuUd)"), "")
     s = F.regexp_replace(s, _java(BRACKETED_PART), "")
     s = F.replace(s, F.lit(DOUBLED_QUOTE), F.lit('"'))
-    s = F.regexp_replace(s, _java(EDGE_QUOTES), "")
+    # Quotes count as edge quotes also before one final line break.
+    s = F.trim(F.regexp_replace(s, r"\n\z", ""), F.lit(EDGE_QUOTES))
     return F.trim(F.regexp_replace(s, _java(SPACE_RUN), " "))
 
 

@@ -34,8 +34,12 @@ def genre_weekly_sum(
     """Weekly total per label from rows that carry their labels; a row counts
     under each of its labels.  One pass: the exploded rows are combined before
     they are shuffled."""
+    return _sum_per_label(tracks.withColumn(labels, F.array_distinct(labels)), labels, date, metric)
+
+
+def _sum_per_label(tracks: DataFrame, labels: str, date: str, metric: str) -> DataFrame:
     return (
-        tracks.select(F.explode(F.array_distinct(labels)).alias("genre"), date, metric)
+        tracks.select(F.explode(labels).alias("genre"), date, metric)
         .groupBy("genre", date)
         .agg(F.sum(metric).alias("total"))
     )
@@ -49,10 +53,10 @@ def genre_weekly_sum_of_facts(
     broadcast threshold is joined row by row, and no fact row is shuffled.  A
     larger one meets the facts already summed per (key, date): a key that holds
     a third of the facts then brings one row per date to the join."""
-    dim = dim.select(key, labels)
+    dim = dim.select(key, F.array_distinct(labels).alias(labels))  # once per dimension row, not per fact
     if not fits_broadcast(dim):
         fact = fact.groupBy(key, date).agg(F.sum(metric).alias(metric))
-    return genre_weekly_sum(fact.join(dim, key), labels, date, metric)
+    return _sum_per_label(fact.join(dim, key), labels, date, metric)
 
 
 def total_per_group(series: DataFrame, group: str = "genre", metric: str = "total") -> DataFrame:

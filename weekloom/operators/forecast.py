@@ -81,7 +81,7 @@ def walk_forward_one_step(
     history = w.rowsBetween(Window.unboundedPreceding, -1)
     steps = (
         holdout_last_n(df, keys, date, test_weeks)
-        .withColumns({"x1": F.lag(value, 1).over(w), "x2": F.lag(value, 2).over(w), "x3": F.lag(value, 3).over(w)})
+        .withColumns({"x1": F.lag(value, 1).over(w), "x2": F.lag(value, 2).over(w)})
         .withColumn("predicted", F.coalesce(predictor(value, w, history), F.col("x1"), F.lit(0.0)))
     )
     return _test_rows(min_history_gate(steps, family, test_weeks), keys, date, value)

@@ -15,7 +15,6 @@ from weekloom.operators.aggregates import (
     series_length,
     total_by_date,
     total_per_group,
-    unique_tracks,
     value_counts,
     weekly_keys_only,
 )
@@ -30,14 +29,12 @@ from weekloom.queries.stand_ins import (
     SCORED_SQL,
     TRACKS_SQL,
     WEEKLY_SQL,
-    forecasts,
     genre_grid,
     genre_weekly,
     raw_chart,
     scored,
     table,
     tracks,
-    week_sql,
     weekly_tracks,
 )
 

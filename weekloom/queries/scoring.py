@@ -6,7 +6,6 @@ from weekloom.plans.genre_forecast import naive_report
 from weekloom.queries.registry import query
 from weekloom.queries.stand_ins import (
     ALL_FORECASTS_SQL,
-    GRID_SQL,
     SCORE_SQL,
     SCORED_SQL,
     forecasts,
