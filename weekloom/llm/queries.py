@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weekloom.llm.line_dedup import drop_common_lines
+from weekloom.llm.mixing import mix
 from weekloom.llm.near_dup import Shape, near_duplicates
+from weekloom.llm.quality_rules import risk_controlled
 from weekloom.llm.scratch import table
 from weekloom.llm.token_count import token_counts
 
@@ -32,3 +35,75 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = risk_controlled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return found.select(*base, F.concat_ws(",", "rejected_by").alias("rejected_by"))
+
+
+@_query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return drop_common_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+_KEY = (
+    "translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),"
+    " 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+ORACLES["op6_line_dedup"] = f"""
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as pos
+  from documents),
+keyed as (select doc_id, pos, line, {_KEY} as key from lines),
+common as (select key from keyed where key <> '' group by key having count(distinct doc_id) >= 10),
+marked as (select k.*, c.key is not null as gone from keyed k left join common c on k.key = c.key)
+select doc_id, count(*)::bigint as n_lines, count(*) filter (where gone)::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
+from marked group by doc_id"""
+
+
+@_query
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mix(docs, F.array("source")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op10_source_mix"] = """
+with sized as (
+  select doc_id, coalesce('s' || source, '~') as source,
+         len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> ''))::bigint as size
+  from documents),
+keyed as (select *, md5('17:' || coalesce(doc_id::varchar, '') || ':' || size) as key from sized),
+per as (
+  select source, sum(size)::bigint as source_size, 2 * sum(size)::double as top,
+         ([5.0, 2.0, 1.0])[((row_number() over (order by source) - 1) % 3 + 1)::int]::double as weight
+  from sized group by source),
+ranked as (
+  select *, 1.5 * sum(source_size) over () as total,
+         row_number() over (order by top / weight, source) as k,
+         sum(top) over (order by top / weight, source) - top as filled,
+         sum(weight) over () - sum(weight) over (order by top / weight, source) + weight as open
+  from per),
+level as (select arg_min((total - filled) / open, k) filter (where top * open > (total - filled) * weight) as unit from ranked),
+targets as (select source, source_size, case when unit is null then top else least(top, unit * weight) end as target from ranked, level),
+quotas as (
+  select *, (round_even(sum(target) over (order by source), 0) - round_even(coalesce(sum(target) over (
+           order by source rows between unbounded preceding and 1 preceding), 0), 0))::bigint as quota
+  from targets),
+plan as (
+  select *, least(quota, 2 * source_size) // greatest(source_size, 1) as whole,
+         least(quota, 2 * source_size) % greatest(source_size, 1) as rest
+  from quotas),
+run as (
+  select k.*, p.source_size, p.target, p.whole, p.rest,
+         sum(size) over (partition by k.source order by key) as above,
+         sum(size) over (partition by k.source, key) as tied, count(*) over (partition by k.source, key) as ties
+  from keyed k join plan p on k.source = p.source)
+select doc_id, size, source_size, target,
+       (size * whole + case when above <= rest then size when above - tied <= rest then (rest - above + tied) // ties else 0 end)::bigint as taken
+from run"""
