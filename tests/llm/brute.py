@@ -49,3 +49,42 @@ def near_dup(rows, n, percent=80):
         c = least[find(s)] if d is not None and s else d
         out.append((d, len(s), c, d is None or d == c))
     return sorted(out, key=repr)
+
+
+KINDS = ("assign", "access", "hex", "owned")
+ASSIGN = re.compile(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def base_spans(text):
+    text = text or ""
+    out = [(m.start(), 0, m.end(), m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    out += [(m.start(), 1, m.end(), m[0]) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end(), m[0]) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(out)
+
+
+def secrets(rows, length=16, digits=2, bits=3.0, max_owners=1):
+    """[(id, owner, text)] -> [(id, base spans, all spans)]"""
+    import math
+    from collections import Counter
+
+    def entropy(v):
+        return -sum(c / len(v) * math.log2(c / len(v)) for c in Counter(v).values())
+
+    found, owners = [], {}
+    for d, owner, text in rows:
+        base = base_spans(text)
+        extra = []
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text or ""):
+            n = sum(c.isdigit() for c in m[0])
+            if len(m[0]) >= length and digits <= n < len(m[0]) and entropy(m[0]) >= bits - 1e-12:
+                if not any(m.start() < e and s < m.end() for s, _, e, _ in base):
+                    extra.append((m.start(), 3, m.end(), m[0]))
+        for *_, value in base + extra:
+            owners.setdefault(value, set()).add(owner)
+        found.append((d, base, extra))
+    out = []
+    for d, base, extra in found:
+        kept = sorted(base + [s for s in extra if len(owners[s[3]]) <= max_owners])
+        out.append((d, *(",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b, _ in x) for x in (base, kept))))
+    return sorted(out, key=repr)

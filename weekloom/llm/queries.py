@@ -8,11 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weekloom.llm.decontaminate import contamination
 from weekloom.llm.line_dedup import drop_common_lines
 from weekloom.llm.mixing import mix
 from weekloom.llm.near_dup import Shape, near_duplicates
 from weekloom.llm.quality_rules import risk_controlled
 from weekloom.llm.scratch import table
+from weekloom.llm.secrets import KINDS, scan_secrets, spans_text
 from weekloom.llm.token_count import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +109,47 @@ run as (
 select doc_id, size, source_size, target,
        (size * whole + case when above <= rest then size when above - tied <= rest then (rest - above + tied) // ties else 0 end)::bigint as taken
 from run"""
+
+
+@_query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOW}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLES["op5_decontamination"] = f"""
+with docs as (select doc_id, {_WORDS} as w from documents),
+items as (select item_id::varchar as item, {_WORDS} as w from benchmark where item_id is not null),
+sizes as (select unnest(range(1, 11)) as size),
+phrases as (
+  select distinct item, least(10, len(w)) as size, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') as phrase
+  from (select item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from items where len(w) > 0)),
+used as (select distinct size from phrases),
+places as (
+  select doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') as phrase
+  from (select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as i from docs, used where len(w) >= size)),
+hits as (select p.doc_id, p.i, p.size, f.item from places p join phrases f on p.phrase = f.phrase and p.size = f.size),
+covered as (select doc_id, count(distinct word) as n_hit from (select doc_id, unnest(range(i, i + size)) as word from hits) group by doc_id),
+named as (select doc_id, count(distinct item) as n_items, sha256(array_to_string(list_sort(list_distinct(list(item))), ',')) as s from hits group by doc_id)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(c.n_hit, 0)::bigint as n_hit, coalesce(n.n_items, 0)::bigint as n_items,
+       coalesce(n.s, sha256('')) as items_sha256, coalesce(c.n_hit, 0) > 0 as contaminated
+from docs d left join covered c on d.doc_id = c.doc_id left join named n on d.doc_id = n.doc_id"""
+
+
+@_query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{KINDS[k]}") for k in range(3)]
+    digest = F.sha2(spans_text(base).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, spans_text(F.col("spans")).alias("spans"), "n_live", "n_copied")
