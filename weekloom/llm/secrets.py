@@ -159,8 +159,8 @@ def scan_secrets(
     span = F.struct("start", "kind", "stop")
     per_row = judged.groupBy("row").agg(
         F.collect_list(F.when((F.col("kind") < 3) | F.col("live"), span)).alias("all"),
-        F.count_if("live").alias("n_live"),
-        F.count_if("not live and n_owners > 1").alias("n_copied"),
+        F.count_if(F.col("live")).alias("n_live"),
+        F.count_if(F.expr("not live and n_owners > 1")).alias("n_copied"),
     )
     out = scanned.select("id", "row").join(per_row, "row", "left")
     empty = F.array().cast("array<struct<start:int,kind:int,stop:int>>")
