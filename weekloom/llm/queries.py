@@ -17,6 +17,8 @@ from weekloom.llm.scratch import table
 from weekloom.llm.secrets import KINDS, scan_secrets, spans_text
 from weekloom.llm.token_count import token_counts
 
+from weekloom.llm.warc import round_trip
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -153,3 +155,18 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{KINDS[k]}") for k in range(3)]
     digest = F.sha2(spans_text(base).cast("binary"), 256).alias("base_sha256")
     return found.select("doc_id", *counts, digest, spans_text(F.col("spans")).alias("spans"), "n_live", "n_copied")
+
+
+@_query
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = round_trip(spark, table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op1_warc_round_trip"] = """
+with p as (select page_id, octet_length(encode(coalesce(html, '')))::bigint as n, sha256(coalesce(html, '')) as d from pages),
+f as (select *, case when n >= 100 then min(page_id) over (partition by d) else page_id end as first from p)
+select page_id, n as payload_bytes, d as payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id = first then null else first end as refers_to
+from f"""
