@@ -12,6 +12,7 @@ from weekloom.llm.decontaminate import contamination
 from weekloom.llm.line_dedup import drop_common_lines
 from weekloom.llm.mixing import mix
 from weekloom.llm.near_dup import Shape, near_duplicates
+from weekloom.llm.quality_classifier import classify
 from weekloom.llm.quality_rules import risk_controlled
 from weekloom.llm.scratch import table
 from weekloom.llm.secrets import KINDS, scan_secrets, spans_text
@@ -170,3 +171,8 @@ select page_id, n as payload_bytes, d as payload_digest,
        case when page_id = first then 'response' else 'revisit' end as record_type,
        case when page_id = first then null else first end as refers_to
 from f"""
+
+
+@_query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents").select("doc_id", "text"))
