@@ -41,7 +41,7 @@ class Training:
     step: float = 0.5
     slice_bytes: int = 1 << 18
     tasks: int = 12
-    keep_from: float = 0.5
+    keep_from: float = 0.3
 
 
 #: labeller -> (value, bad below, good from, good to, bad above)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekloom.llm.decontaminate import contamination
+from weekloom.llm.language_model import score_texts
 from weekloom.llm.line_dedup import drop_common_lines
 from weekloom.llm.mixing import mix
 from weekloom.llm.near_dup import Shape, near_duplicates
@@ -176,3 +177,8 @@ from f"""
 @_query
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
