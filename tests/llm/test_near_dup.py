@@ -1,5 +1,6 @@
 import random
 
+import weekloom.llm.near_dup as near_dup_module
 from weekloom.llm.components import components
 from weekloom.llm.near_dup import Shape, near_duplicates, one_of_each
 from weekloom.llm.queries import QUERIES
@@ -40,6 +41,22 @@ def test_all_links_and_components(spark):
         assert got(near_duplicates(frame(spark, rows), shape=Shape(shingle=n))) == near_dup(rows, n)
 
 
+def test_units_of_large_buckets(spark, monkeypatch):
+    monkeypatch.setattr(near_dup_module, "FEW", 1)
+    monkeypatch.setattr(near_dup_module, "UNIT", 3)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for k in range(90):
+        copy = list(base)
+        for _ in range(rng.choice((1, 2, 3, 4))):
+            copy[rng.randrange(60)] = f"x{rng.randrange(40)}"
+        rows.append((k, " ".join(copy)))
+    want = near_dup(rows, 2)
+    assert 1 < sum(r[3] for r in want) < 60
+    assert got(near_duplicates(frame(spark, rows), shape=Shape(shingle=2))) == want
+
+
 def test_query_against_brute_force(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     want = near_dup([tuple(r) for r in docs], 2)

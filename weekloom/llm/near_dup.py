@@ -4,10 +4,10 @@ Every document is the set of its distinct word shingles.  Two permutations make
 all signature coordinates: one scatters the hashed shingles over a circular
 universe, the other gives each place a value; coordinate k is the least value
 ``values[(place + k) mod size]``, so the coordinates of one shingle are one
-contiguous window of the value table.  Bands of coordinates are bucketed,
-members of a bucket are compared with its least member on their full sets, and
-only members that are still in different components afterwards are compared with
-each other.  Equal sets are one class from the start and are never paired.
+contiguous window of the value table.  Bands of coordinates are bucketed and
+the members of a bucket are compared with its leader on their full sets.  Members
+that are still in different components afterwards are compared with each other:
+pair by pair in small buckets, in units of bounded size in large ones.  Equal sets are one class from the start and are never paired.
 
 Results by case: a row without words or text has an empty set, links with
 nothing and is its own component; a row without id is linked with nothing and
@@ -33,6 +33,10 @@ from weekloom.llm.scratch import SPACE_CHARS, fresh, partitions, written
 
 #: Members of a bucket that one task compares with a leader.
 MEMBERS_PER_TASK = 2000
+#: Pairs of still unconnected members are written out for buckets up to this size.
+FEW = 12
+#: Members in a block of a larger bucket.
+UNIT = 500
 
 
 @dataclass(frozen=True)
@@ -163,6 +167,72 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
     return spread.sortWithinPartitions("lead", "part", "role").mapInArrow(run, "lead binary, node binary")
 
 
+def _linked_in_units(members: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
+    """Links (lead, node) between components inside large buckets.
+
+    The members of a bucket are dealt into blocks, and every two blocks meet in a
+    unit of bounded size.  A unit counts the shingles that a member shares with all
+    others through a list of owners of each shingle, and returns only links that
+    join parts which were still apart in it, fewer than it has members.
+    """
+    blocks = F.ceil(F.col("m") / UNIT).cast("int")
+    dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    units = dealt.select(
+        "key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node", "label"
+    ).join(texts, "node")
+    order = ["key", "i", "j"]
+    spread = units.select(*order, "block", "node", "label", "text").repartition(partitions(members.sparkSession), *order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maker, now, rows = Sketcher(shape), None, []
+        for batch in batches:
+            for part, texts in ragged.slices(batch, "text"):
+                columns = [part.column(i).to_pylist() for i in range(6)]
+                for i, (row, shingles) in enumerate(zip(zip(*columns, strict=True), maker.sets(texts), strict=True)):
+                    if row[:3] != now:
+                        yield _unit_links(rows, now, shape)
+                        now, rows = row[:3], []
+                    if np.array(maker.fingerprint(shingles), np.uint64).tobytes() == row[4]:
+                        rows.append((*row[3:], shingles))
+        yield _unit_links(rows, now, shape)
+
+    return spread.sortWithinPartitions(*order).mapInArrow(run, "lead binary, node binary")
+
+
+def _unit_links(rows: list[tuple[int, bytes, bytes, np.ndarray]], unit: tuple | None, shape: Shape) -> pa.RecordBatch:
+    """``rows`` are (block, node, label, set) of one unit (key, i, j)."""
+    found: list[tuple[bytes, bytes]] = []
+    labels = [r[2] for r in rows]
+    common = max(set(labels), key=labels.count) if labels else None
+    others = [k for k, x in enumerate(labels) if x != common]
+    if others:
+        number = {x: k for k, x in enumerate(dict.fromkeys(labels))}
+        part = np.array([number[x] for x in labels])
+        size = np.array([len(r[3]) for r in rows])
+        block = np.array([r[0] for r in rows])
+        shingles, inverse = np.unique(np.concatenate([r[3] for r in rows]), return_inverse=True)
+        order = np.argsort(inverse, kind="stable")
+        owners = np.repeat(np.arange(len(rows)), size)[order]
+        count = np.bincount(inverse, minlength=len(shingles))
+        first = np.cumsum(count) - count
+        at = np.cumsum(size) - size
+        for k in others:
+            mine = inverse[at[k] : at[k] + size[k]]
+            n = count[mine]
+            places = np.repeat(first[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            both = np.bincount(owners[places], minlength=len(rows))
+            near = (100 * both >= shape.percent * (size + size[k] - both)) & (part != part[k])
+            if unit[1] != unit[2]:
+                near &= block != block[k]
+            for v in np.flatnonzero(near):
+                if part[v] != part[k]:
+                    found.append((rows[k][1], rows[v][1]))
+                    part[part == part[v]] = part[k]
+    lead, node = zip(*found, strict=True) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(lead, pa.binary()), pa.array(node, pa.binary())], ["lead", "node"])
+
+
 def _mark(text_col: str) -> F.Column:
     """Tells rows that share an id apart."""
     return F.xxhash64(F.col(f"`{text_col}`").cast("string"))
@@ -180,28 +250,33 @@ def _assigned(docs: DataFrame, id_col: str, text_col: str, shape: Shape) -> Data
     classes = written(classes, "classes")
     bands = named.join(classes.select("node", F.col("rep").alias("id")), ["node", "id"]).select("node", F.explode("bands").alias("key"))
     bands = bands.distinct() if _repeats(named, classes) else bands
-    leads = bands.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("m")).where("m > 1").select("key", "lead")
-    buckets = written(bands.join(leads, "key").select("key", "lead", "node"), "buckets")
+    full = bands.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    buckets = written(bands.join(full, "key").select("key", "node", "m"), "buckets")
+    # a bucket is led by the member that meets most others in all its buckets
+    weight = buckets.groupBy("node").agg(F.sum("m").alias("weight"))
+    leads = buckets.join(weight, "node").groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("lead"))
 
     candidates = buckets.select("node").distinct().join(classes, "node").select("node", "rep")
     texts = written(source.join(candidates, F.col("id") == F.col("rep")).select("node", "text").dropDuplicates(["node", "text"]), "texts")
-    stars = written(buckets.where("lead <> node").select("lead", "node").distinct(), "pairs")
-    links = written(_confirmed(stars, texts, shape), "links")
+    stars = buckets.join(leads, "key").where("lead <> node").select("lead", "node").distinct()
+    links = written(_confirmed(written(stars, "pairs"), texts, shape), "links")
     roots = components(links)
 
-    # members of one bucket in different components: each such pair once
+    # members of one bucket that are in different components now
     label = roots.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    sizes = classes.select("node", "n")
-    members = buckets.join(label, "node", "left").join(sizes, "node").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
+    members = buckets.join(label, "node", "left").join(classes.select("node", "n"), "node")
+    members = members.select("key", "node", "m", "n", F.coalesce("label", "node").alias("label"))
     mixed = members.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("key")
     apart = written(members.join(mixed, "key"), "apart")
-    other = apart.toDF("key", "node2", "n2", "label2")
+    few = apart.where(F.col("m") <= FEW)
+    other = few.select("key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
     fits = f"n * 100 >= n2 * {shape.percent} and n2 * 100 >= n * {shape.percent}"
-    rest = apart.join(other, "key").where(f"label <> label2 and node < node2 and {fits}").select(F.col("node").alias("lead"), F.col("node2").alias("node"))
-    rest = rest.distinct().join(stars.union(stars.select("node", "lead")).toDF("lead", "node"), ["lead", "node"], "left_anti")
-    more = written(_confirmed(written(rest, "pairs"), texts, shape), "links")
+    rest = few.join(other, "key").where(f"label <> label2 and node < node2 and {fits}").select(F.col("node").alias("lead"), F.col("node2").alias("node"))
+    more = written(_confirmed(written(rest.distinct(), "pairs"), texts, shape), "links")
+    many = written(_linked_in_units(apart.where(F.col("m") > FEW), texts, shape), "links")
+    more = more.union(many)
     if not more.isEmpty():
-        roots = components(roots.union(more.select("lead", "node")))
+        roots = components(roots.union(more))
 
     label = roots.select(F.col("u").alias("node"), F.col("v").alias("label"))
     joined = classes.join(label, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
