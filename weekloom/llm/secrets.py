@@ -162,7 +162,9 @@ def scan_secrets(
         F.count_if(F.col("live")).alias("n_live"),
         F.count_if(F.expr("not live and n_owners > 1")).alias("n_copied"),
     )
-    out = scanned.select("id", "row").join(per_row, "row", "left")
+    # rows without spans have no key and stay out of the join
+    found = scanned.where("row is not null").select("id", "row").join(per_row, "row")
+    out = found.unionByName(scanned.where("row is null").select("id", "row"), allowMissingColumns=True)
     empty = F.array().cast("array<struct<start:int,kind:int,stop:int>>")
     return out.select(
         F.col("id").alias(id_col),
