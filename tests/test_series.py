@@ -159,3 +159,29 @@ def test_decomposition_adds_up(series):
     one = got[got.genre == "long"].sort_values("date")
     assert one.seasonal[:52].sum() == pytest.approx(0, abs=1e-6)
     np.testing.assert_allclose(one.seasonal[:52].to_numpy(), one.seasonal[52:104].to_numpy())
+
+
+def test_overall_lags_of_a_short_series(spark):
+    from weekloom.operators.decompose import acf
+
+    rows = [("all", date(2020, 1, 5) + timedelta(weeks=i), float(i % 7)) for i in range(150)]
+    df = spark.createDataFrame(rows, "genre string, date date, total double")
+    assert [acf(df, overall=o).count() for o in (True, False)] == [74, 52]
+
+
+def test_tree_rows_know_only_the_past(spark):
+    from weekloom.operators.trees import model_rows
+
+    def rows(shift):
+        start = date(2020, 1, 5)
+        a = [("a", start + timedelta(weeks=i), 100.0 + i % 5 + (shift if i >= 60 else 0)) for i in range(80)]
+        b = [("b", start + timedelta(weeks=40 + i), 50.0 + i % 3 + (shift if i >= 20 else 0)) for i in range(70)]
+        df = spark.createDataFrame(a + b, "k string, date date, v double")
+        return model_rows(df, "rf", ["k"], "date", "v")
+
+    early = "date < date'2021-02-28'"
+    before, after = ({(r.k, r.date): r for r in rows(s).where(early).collect()} for s in (0.0, 9000.0))
+    assert before == after and len(before) > 60
+    spans = rows(0.0).where("not is_test").groupBy("fold").agg(F.min("date").alias("lo"), F.max("date").alias("hi")).orderBy("fold").collect()
+    assert [r.fold for r in spans] == [0, 1, 2, 3]
+    assert all(x.hi < y.lo for x, y in zip(spans, spans[1:]))

@@ -32,9 +32,10 @@ def test_chart_csv(spark, tmp_path):
 
 
 ROW = (
-    '<tr data-encore-id="tableRow"><td>x</td><td>1</td><td><span class="styled__StyledTruncatedTitle-s">{title}</span>'
+    '<tr data-encore-id="tableRow"><td data-encore-id="tableCell">x</td><td data-encore-id="tableCell">1</td><td data-encore-id="tableCell"><span class="styled__StyledTruncatedTitle-s">{title}</span>'
     '<div class="styled__StyledArtistsTruncatedDiv-s"><a href="#">A &amp; B</a>, <a href="#">C</a></div></td>'
-    "<td>2</td><td>1</td><td>{weeks}</td><td>{streams}</td></tr>"
+    + "".join(f'<td data-encore-id="tableCell">{x}</td>' for x in ("2", "1", "{weeks}", "{streams}"))
+    + "</tr>"
 )
 
 
@@ -44,7 +45,32 @@ def test_chart_pages(spark):
     got = chart_page_rows(spark.createDataFrame([("2020-01-02", html)], "Date string, html string"), "html", ["Date"])
     rows = [tuple(r) for r in got.orderBy("Position").collect()]
     assert rows[0] == ("2020-01-02", 1, "One", "A & B, C", "2", "1", "3", 1234567)
-    assert rows[1][1:4] == (3, "Two x", "A & B, C") and rows[1][-1] == 0
+    assert rows[1][1:4] == (2, "Two x", "A & B, C") and rows[1][-1] == 0
+
+
+def test_line_breaks_and_column_order(spark, tmp_path):
+    df = spark.createDataFrame([("a\nb", "x", "2020-01-02"), ("c", "y", "2020-01-09")], "`Song Title` string, Artists string, Date string")
+    write_table(df, str(tmp_path / "chart"), "csv")
+    back = read_csv_chart(spark, str(tmp_path / "chart")).orderBy("Date").collect()
+    assert [r["Song Title"] for r in back] == ["a\nb", "c"]
+    mixed = tmp_path / "mixed"
+    mixed.mkdir()
+    (mixed / "a.csv").write_text("Song Title,Artists,Date\nt,a,2020-01-02\n")
+    (mixed / "b.csv").write_text("Artists,Song Title,Date\na,t,2020-01-02\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_chart(spark, str(mixed)).collect()
+
+
+def test_text_columns_of_result_files_stay(spark, tmp_path):
+    (tmp_path / "genre_naive_metrics.csv").write_text("genre,mae,note\npop,1,hello\n")
+    row = scan_result_files(spark, str(tmp_path), "metrics").first()
+    assert (row.mae, row.note) == (1.0, "hello")
+
+
+def test_names_for_the_wide_scored_map(spark):
+    body = '{"highlevel": {"mood-happy": {"value": "happy", "probability": 0.75}, "bpm": 120, "odd": "12d"}}'
+    df = spark.createDataFrame([(1, body), (2, None)], "id int, body string")
+    assert payloads.scored_feature_names(df, "body") == (["mood_happy"], ["bpm"])
 
 
 def test_result_files_with_different_headers(spark, tmp_path):

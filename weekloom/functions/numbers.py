@@ -6,10 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Decimal and exponent forms; type suffixes such as ``12d`` are no numbers.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|^\s*[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?\s*$"
+
+
 def to_number(c: Column) -> Column:
     """Double, null where the text is not a number (NaN counts as missing)."""
     number = c.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.when(c.cast("string").rlike(NUMBER) & ~F.isnan(number), number)
 
 
 def zero_to_null(c: Column) -> Column:

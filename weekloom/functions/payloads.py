@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weekloom.functions.numbers import to_number
+
 from weekloom.functions.text import join_names
 
 TAG_TEXT_LIMIT = 255
@@ -76,7 +78,7 @@ def scored_features(df: DataFrame, payload: str, keys: list[str]) -> DataFrame:
     features = F.from_json(payload, SCORED_SCHEMA)["highlevel"]
     scored = F.from_json("raw", "STRUCT<value: STRING, probability: DOUBLE>")
     is_scored = F.col("scored.value").isNotNull() & F.col("scored.probability").isNotNull()
-    number = F.col("raw").try_cast("double")
+    number = to_number(F.col("raw"))
     return (
         df.select(*keys, F.explode(features).alias("feature", "raw"))
         .withColumn("scored", F.when(F.col("raw").startswith("{"), scored))
@@ -93,6 +95,14 @@ def scored_features(df: DataFrame, payload: str, keys: list[str]) -> DataFrame:
     )
 
 
+def scored_feature_names(df: DataFrame, payload: str) -> tuple[list[str], list[str]]:
+    """Names of the scored features and of the bare numbers that occur, for the
+    wide form.  They become columns, so their number is that of a schema."""
+    found = scored_features(df, payload, []).groupBy("name").agg(F.count("number").alias("numbers"), F.count("prob").alias("scored"))
+    rows = found.collect()
+    return sorted(r.name for r in rows if r.scored), sorted(r.name for r in rows if r.numbers)
+
+
 def flatten_scored_map(
     df: DataFrame, payload: str, keys: list[str], scored: list[str], numbers: list[str] = ()
 ) -> DataFrame:
@@ -109,7 +119,7 @@ def flatten_scored_map(
         cols.append(F.when(both, pair["value"]).alias(f"ab_{name}_value"))
         cols.append(F.when(both, pair["probability"]).alias(f"ab_{name}_prob"))
     for name in numbers:
-        cols.append(F.try_element_at("_m", F.lit(name)).try_cast("double").alias(f"ab_{name}"))
+        cols.append(to_number(F.try_element_at("_m", F.lit(name))).alias(f"ab_{name}"))
     return out.select(*keys, *cols, error_record(df[payload]).alias("error"))
 
 

@@ -46,8 +46,14 @@ def usable_lags(n: Column, lags: int) -> Column:
     return F.when(n >= lags + 5, F.lit(lags)).otherwise(F.greatest(F.lit(1), F.floor(n / 2) - 1)).cast("int")
 
 
+def overall_lags(n: Column, lags: int = ACF_LAGS_OVERALL) -> Column:
+    """Lag count for one overall series: up to two years, below half its length."""
+    return F.least(F.lit(lags), F.floor(n / 2) - 1).cast("int")
+
+
 def acf_arrays(
-    df: DataFrame, keys: Sequence[str] = ("genre",), date: str = "date", value: str = "total", lags: int = ACF_LAGS
+    df: DataFrame, keys: Sequence[str] = ("genre",), date: str = "date", value: str = "total", lags: int = ACF_LAGS,
+    overall: bool = False,
 ) -> DataFrame:
     """Per series ``n``, ``lags`` and ``acf`` (lag 0 first).  A weekly series is
     an array no longer than the calendar; products with its own shifts are
@@ -59,7 +65,7 @@ def acf_arrays(
         F.avg(value).alias("_mean"),
         (F.var_pop(value) * F.count(value)).alias("_s0"),
     )
-    used = usable_lags(F.col("n"), lags)
+    used = overall_lags(F.col("n")) if overall else usable_lags(F.col("n"), lags)
     centred = computed_once(
         series, _c=F.transform("_p", lambda p: p["v"] - F.col("_mean")), lags=used, _len=F.col("n").cast("int")
     )

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from weekloom.functions.labels import safe_label_name
 from weekloom.operators.rows import keep_first
 
-MAX_ONE_HOT = 5000
-
 
 def union_by_name(*frames: DataFrame) -> DataFrame:
     """All rows; columns a frame lacks are null."""
@@ -20,12 +18,9 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
 
 
 def label_names(labels: DataFrame, label: str = "label") -> list[str]:
-    """Labels that will become columns.  A vocabulary too wide for columns is
-    refused; :func:`one_hot_long` has no such limit."""
-    found = [r[0] for r in labels.select(label).limit(MAX_ONE_HOT + 1).collect()]
-    if len(found) > MAX_ONE_HOT:
-        raise ValueError(f"more than {MAX_ONE_HOT} labels; use one_hot_long")
-    return sorted(found)
+    """Labels that will become columns of a wide table, whose schema bounds them;
+    :func:`one_hot_long` serves vocabularies that are no schema."""
+    return sorted(r[0] for r in labels.select(label).collect())
 
 
 def one_hot_multilabel(

@@ -1,10 +1,12 @@
 """Pooled tree ensembles over all series.
 
 One MLlib model serves every series; series differ by their features, among
-them ``level``, the mean of the series' training part.  Split search and
-scoring run on the executors.  Random draws of the parameters are compared on
-expanding folds: fold ``i`` is scored by a model that saw only folds below it,
-so no later row ever helps to predict an earlier one.
+them ``level``, the mean of the series' training rows before the row.  Split
+search and scoring run on the executors.  Random draws of the parameters are
+compared on expanding folds, which are spans of the calendar: fold ``i`` is
+scored by a model that saw only earlier dates of any series.  The final model is
+fitted on the training rows of all series; where series end at different dates,
+its rows of one series can be later than test rows of another.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.operators.columns import feature_columns
@@ -26,7 +28,6 @@ from weekloom.operators.windows import (
     add_time_series_features,
     expanding_folds,
     with_position,
-    whole_series,
 )
 
 DRAWS = 10
@@ -71,10 +72,14 @@ def model_rows(
     )
     placed = with_position(featured, keys, date).filter((F.col("n") >= total) & (F.col("n") - test_weeks >= least_train))
     split = placed.withColumn("is_test", F.col("rn") > F.col("n") - test_weeks)
-    level = F.avg(F.when(~F.col("is_test"), F.col(target))).over(whole_series(keys, date))
-    split = split.withColumn("level", level).drop("rn", "n")
-    # Training and test rows are places of their own: partition by both, one shuffle.
-    return expanding_folds(split, [*keys, "is_test"], date, SPLITS).withColumn(
+    past = Window.partitionBy(*keys).orderBy(date).rowsBetween(Window.unboundedPreceding, -1)
+    trained = F.when(~F.col("is_test"), F.col(target))
+    split = split.withColumn("level", F.avg(trained).over(past)).drop("rn", "n")
+    # Folds are spans of the calendar, the same for every series, so that a model
+    # of one fold never saw a later date of any series.
+    dates = split.filter(~F.col("is_test")).select(F.col(date).alias("_d")).distinct()
+    spans = expanding_folds(dates.withColumn("_all", F.lit(1)), ["_all"], "_d", SPLITS).select("_d", "fold")
+    return split.join(spans, F.col(date) == F.col("_d"), "left").drop("_d").withColumn(
         "fold", F.when(~F.col("is_test"), F.col("fold"))
     )
 

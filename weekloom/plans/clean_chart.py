@@ -30,8 +30,8 @@ def clean_rows(raw: DataFrame) -> DataFrame:
 def clean_chart(raw: DataFrame) -> DataFrame:
     """Mean of every numeric chart column per (week, artist, song)."""
     rows = clean_rows(raw)
-    if "Peak Position" in rows.columns:
-        rows = rows.withColumn("Peak Position", to_number(F.col("Peak Position")))
+    texts = [c for c in ("Peak Position", "Weeks on Chart") if c in rows.columns]
+    rows = rows.withColumns({c: to_number(F.col(c)) for c in texts}) if texts else rows
     return weekly_mean(rows, WEEK_KEYS, [c for c in numeric_columns(rows) if c not in WEEK_KEYS])
 
 

@@ -41,9 +41,10 @@ from weekloom.queries.stand_ins import (
 
 @query(
     "weekly_mean",
-    "year_week:s artist:s song:s spotify_position:f6 spotify_peak_position:f6 spotify_streams:f4",
+    "year_week:s artist:s song:s spotify_position:f6 spotify_peak_position:f6 spotify_weeks_on_chart:f6 spotify_streams:f4",
     f"""WITH {CLEAN_SQL} SELECT year_week, artist, song, avg("Position") AS spotify_position,
-        avg(TRY_CAST("Peak Position" AS DOUBLE)) AS spotify_peak_position, avg("Streams") AS spotify_streams
+        avg(TRY_CAST("Peak Position" AS DOUBLE)) AS spotify_peak_position,
+        avg(TRY_CAST("Weeks on Chart" AS DOUBLE)) AS spotify_weeks_on_chart, avg("Streams") AS spotify_streams
         FROM keyed GROUP BY ALL""",
 )
 def _weekly_mean(spark, d):

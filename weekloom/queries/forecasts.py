@@ -168,6 +168,20 @@ def _acf(spark, d):
     return acf(genre_grid(spark, d))
 
 
+@query(
+    "acf_overall",
+    "series:s lag:i acf:f8",
+    f"""WITH {GRID_SQL}, overall AS (SELECT date, sum(total) AS total FROM grid GROUP BY date),
+    placed AS (SELECT total - avg(total) OVER () AS c, row_number() OVER (ORDER BY date) AS rn, count(*) OVER () AS n FROM overall),
+    lags AS (SELECT unnest(range(0, least(104, (SELECT count(*) FROM overall) // 2 - 1) + 1)) AS lag),
+    products AS (SELECT lag, sum(a.c * b.c) AS s FROM placed a, lags, placed b WHERE b.rn = a.rn + lag GROUP BY lag)
+    SELECT 'all' AS series, lag, s / (SELECT s FROM products WHERE lag = 0) AS acf FROM products WHERE lag > 0""",
+)
+def _acf_overall(spark, d):
+    overall = genre_grid(spark, d).groupBy("date").agg(F.sum("total").alias("total")).withColumn("series", F.lit("all"))
+    return acf(overall, ["series"], overall=True)
+
+
 @query(
     "pacf",
     "genre:s lag:i pacf:f6",

@@ -213,14 +213,17 @@ def _is_new_release(spark, d):
 _NUMBER = "CASE l_linenumber WHEN 1 THEN concat(l_returnflag, '1') WHEN 2 THEN '' ELSE CAST(l_quantity AS STRING) END"
 
 
+_SUFFIXED = f"CASE WHEN l_linenumber = 2 THEN '12d' WHEN l_linenumber = 4 THEN '1f' ELSE {_NUMBER} END"
+
+
 @query(
     "to_number_or_null",
     "l_orderkey:i l_linenumber:i number:f2",
-    f"SELECT l_orderkey, l_linenumber, TRY_CAST({_NUMBER} AS DOUBLE) AS number FROM lineitem",
+    f"SELECT l_orderkey, l_linenumber, TRY_CAST({_SUFFIXED} AS DOUBLE) AS number FROM lineitem",
 )
 def _to_number_or_null(spark, d):
     return table(spark, d, "lineitem").select(
-        "l_orderkey", "l_linenumber", numbers.to_number(F.expr(_NUMBER)).alias("number")
+        "l_orderkey", "l_linenumber", numbers.to_number(F.expr(_SUFFIXED)).alias("number")
     )
 
 

@@ -15,7 +15,7 @@ from weekloom.sources.readers import (
     cell_text,
     load_model_dataset,
     nonnull_keys,
-    page_rows,
+    chart_page_rows,
     projected,
     read_csv_chart,
     read_with_enrichments,
@@ -119,20 +119,32 @@ def _write_per_group(spark, d):
 
 @query(
     "chart_page_rows",
-    "page_id:i position:i title:s",
+    "page_id:i position:i title:s streams:i",
     r"""WITH items AS (SELECT page_id, regexp_extract_all(html, '(?s)<li\b[^>]*>(.*?)</li>', 1) AS l FROM pages),
-    numbered AS (SELECT page_id, l, unnest(range(1, len(l) + 1)) AS position FROM items),
-    cells AS (SELECT page_id, position, regexp_extract_all(l[position], '(?s)<a\b[^>]*>(.*?)</a>', 1) AS c FROM numbered)
-    SELECT page_id, position, replace(replace(replace(replace(replace(
-        trim(regexp_replace(c[1], '(?s)<[^>]*>', '', 'g')),
+    numbered AS (SELECT page_id, l, unnest(range(1, len(l) + 1)) AS position FROM items)
+    SELECT page_id, position + 1 AS position, length(l[position]) * 1001 AS streams, replace(replace(replace(replace(replace(
+        trim(regexp_replace(l[position], '(?s)<[^>]*>', '', 'g')),
         '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') AS title
-    FROM cells WHERE len(c) >= 1""",
+    FROM numbered""",
 )
 def _chart_page_rows(spark, d):
-    rows = page_rows(
-        table(spark, d, "pages"), "html", ["page_id"], r"<li\b[^>]*>(.*?)</li>", r"<a\b[^>]*>(.*?)</a>", 1
+    """Each list item of a page becomes a chart row, below a header and a short row."""
+    items = F.regexp_extract_all("html", F.lit(r"(?s)<li\b[^>]*>(.*?)</li>"), F.lit(1))
+    cell = '<td class="c" data-encore-id="tableCell">'
+
+    def row(item):
+        title = F.concat(F.lit('<span class="x StyledTruncatedTitle-y">'), F.regexp_replace(item, "(?s)<[^>]*>", ""), F.lit("</span>"))
+        streams = F.format_number(F.length(item) * 1001, 0)
+        cells = ["", "", title, "", "", "3", streams]
+        return F.concat(
+            F.lit('<tr data-encore-id="tableRow">'), *[F.concat(F.lit(cell), F.lit(c) if isinstance(c, str) else c, F.lit("</td>")) for c in cells], F.lit("</tr>")
+        )
+
+    short = f'<tr><th>Title</th></tr><tr data-encore-id="tableRow">{cell}short</td></tr>'
+    charts = table(spark, d, "pages").select("page_id", F.concat(F.lit(short), F.array_join(F.transform(items, row), "")).alias("chart"))
+    return chart_page_rows(charts, "chart", ["page_id"]).select(
+        "page_id", F.col("Position").alias("position"), F.col("Song Title").alias("title"), F.col("Streams").alias("streams")
     )
-    return rows.withColumn("title", cell_text(F.col("cells")[0]))
 
 
 @query(

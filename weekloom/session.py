@@ -26,11 +26,13 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach. The cluster names it in
-    ``spark.checkpoint.dir``; only a session without one (tests) gets a
-    folder of its own."""
+    ``spark.checkpoint.dir``.  Only a local session without one (tests) gets
+    a folder of its own; a cluster without one is refused."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="weekloom-")
 
 

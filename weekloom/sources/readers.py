@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekloom.functions.labels import model_from_filename
-from weekloom.functions.numbers import parse_grouped_int
+from weekloom.functions.numbers import parse_grouped_int, to_number
 
 # Header and types of the raw chart file.
 CHART_TYPES = {
@@ -33,7 +33,7 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": False,
 }
 
-# Text columns of result files; every other column is a number.
+# Text columns of result files; others are numbers if all their values are.
 RESULT_TEXT = {"genre", "best_params", "sarima_order"}
 
 
@@ -48,20 +48,22 @@ def require_columns(df_columns: list[str], required) -> None:
 
 
 def _csv_header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.options(**CSV_OPTIONS).csv(path).columns
+    return spark.read.options(**CSV_OPTIONS, multiLine=True).csv(path).columns
 
 
-def _typed_csv(spark: SparkSession, paths: list[str] | str, header: list[str], types: dict[str, str], default: str):
+def _typed_csv(spark: SparkSession, paths: list[str] | str, header: list[str], types: dict[str, str], default: str, **options):
     schema = ", ".join(f"`{c}` {types.get(c, default)}" for c in header)
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(paths)
+    return spark.read.schema(schema).options(**CSV_OPTIONS, **options).csv(paths)
 
 
 def read_csv_chart(spark: SparkSession, path: str, required=CHART_REQUIRED) -> DataFrame:
     """Raw chart rows with fixed types.  An absent path raises Spark's own
-    error, an absent required column raises :class:`MissingColumns`."""
+    error, an absent required column raises :class:`MissingColumns`.  Quoted
+    titles may hold line breaks, so a file is read by one task; a folder of
+    files whose columns differ in order is refused."""
     header = _csv_header(spark, path)
     require_columns(header, required)
-    return _typed_csv(spark, path, header, CHART_TYPES, "string")
+    return _typed_csv(spark, path, header, CHART_TYPES, "string", multiLine=True, enforceSchema=False)
 
 
 def read_optional(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame | None:
@@ -138,23 +140,28 @@ def scan_result_files(spark: SparkSession, folder: str, kind: str = "metrics") -
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for path in list_result_sets(spark, folder, kind):
         by_header[tuple(_csv_header(spark, path))].append(path)
-    types = {c: "string" for c in RESULT_TEXT} | {"date": "date"}
+    types = {"date": "date"}
     path = F.col("_metadata.file_path")
     set_name = F.regexp_replace(F.regexp_replace(path, r"/part-[^/]*$", ""), r"^.*/", "")
     result: DataFrame | None = None
     for header, paths in sorted(by_header.items()):
-        part = _typed_csv(spark, paths, list(header), types, "double").withColumn("source_file", set_name)
+        part = _typed_csv(spark, paths, list(header), types, "string").withColumn("source_file", set_name)
         result = part if result is None else result.unionByName(part, allowMissingColumns=True)
     if result is None:
         return None
+    open_ = [c for c in result.columns if c not in {*RESULT_TEXT, *types, "source_file"}]
+    if open_:
+        words = [F.count_if(F.col(f"`{c}`").isNotNull() & to_number(F.col(f"`{c}`")).isNull()).alias(c) for c in open_]
+        odd = result.agg(*words).first()
+        result = result.withColumns({c: to_number(F.col(f"`{c}`")) for c in open_ if not odd[c]})
     return result.withColumn("model", model_from_filename(F.col("source_file"), kind))
 
 
 # --- chart pages -----------------------------------------------------------
 
 # Where a chart page keeps its rows, cells, title and artists.
-CHART_ROW = r"<tr\b[^>]*>(.*?)</tr>"
-CHART_CELL = r"<td\b[^>]*>(.*?)</td>"
+CHART_ROW = r"<tr\b[^>]*data-encore-id=['\"]tableRow['\"][^>]*>(.*?)</tr>"
+CHART_CELL = r"<td\b[^>]*data-encore-id=['\"]tableCell['\"][^>]*>(.*?)</td>"
 CHART_TITLE = r'class="[^"]*StyledTruncatedTitle[^"]*"[^>]*>(.*?)</'
 CHART_ARTISTS = r'class="[^"]*StyledArtistsTruncatedDiv[^"]*"[^>]*>(.*?)</div>'
 CHART_ARTIST = r"<a\b[^>]*>(.*?)</a>"
@@ -177,7 +184,7 @@ def page_rows(
     pages: DataFrame, html: str, keys: list[str], row: str = CHART_ROW, cell: str = CHART_CELL, min_cells: int = 7
 ) -> DataFrame:
     """One row per table row of each page that has enough cells.  ``position``
-    counts all rows of the page, also those left out."""
+    counts all rows that match ``row``, also those with too few cells."""
     return (
         pages.select(*keys, F.posexplode(_all(F.col(html), row)).alias("pos", "row_html"))
         .withColumn("cells", _all(F.col("row_html"), cell))
@@ -203,9 +210,6 @@ def chart_page_rows(pages: DataFrame, html: str, keys: list[str]) -> DataFrame:
     )
 
 
-DEFAULT_SCHEDULE_END = "2016-12-29"
-
-
 def week_schedule(bounds: DataFrame, start: str, end: str, out: str = "week") -> DataFrame:
     """Weekly dates from ``start`` back to ``end`` inclusive, latest first, for
     each row of ``bounds``."""
