@@ -88,3 +88,56 @@ def secrets(rows, length=16, digits=2, bits=3.0, max_owners=1):
         kept = sorted(base + [s for s in extra if len(owners[s[3]]) <= max_owners])
         out.append((d, *(",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b, _ in x) for x in (base, kept))))
     return sorted(out, key=repr)
+
+
+def quality_base(text):
+    w = words(text)
+    grams = {}
+    for i in range(len(w) - 4):
+        grams.setdefault(tuple(w[i : i + 5]), []).append(i)
+    hit = {i + k for places in grams.values() if len(places) > 1 for i in places for k in range(5)}
+    lines = [x for x in (text or "").split("\n") if words(x)]
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(hit))
+
+
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def contaminated(rows, items, n=10):
+    """[(id, text)], [(item, text)] -> sorted [(id, n_words, n_hit, [items])]"""
+    grams = {}
+    for item, text in items:
+        w = ALNUM.findall(low(text))
+        for i in range(max(len(w) - n + 1, 1) if w else 0):
+            if item is not None:
+                grams.setdefault(tuple(w[i : i + n]), set()).add(str(item))
+    out = []
+    for d, text in rows:
+        w, hit, found = ALNUM.findall(low(text)), set(), set()
+        for size in {len(g) for g in grams}:
+            for i in range(len(w) - size + 1):
+                if tuple(w[i : i + size]) in grams:
+                    hit |= set(range(i, i + size))
+                    found |= grams[tuple(w[i : i + size])]
+        out.append((d, len(w), len(hit), sorted(found)))
+    return sorted(out, key=repr)
+
+
+def line_key(line):
+    return low(line.strip(" \t\n\x0b\x0c\r"))
+
+
+def common_lines(rows, least, keep_first=False):
+    """[(id, text)] -> sorted [(id, n_lines, n_dropped, text)]"""
+    held, first = {}, {}
+    for d, text in rows:
+        for key in {line_key(x) for x in (text or "").split("\n")}:
+            held[key] = held.get(key, 0) + 1
+            if d is not None:
+                first[key] = min(first.get(key, d), d)
+    out = []
+    for d, text in rows:
+        lines = (text or "").split("\n")
+        gone = [line_key(x) != "" and held[line_key(x)] >= least and not (keep_first and first.get(line_key(x)) == d) for x in lines]
+        out.append((d, len(lines), sum(gone), "\n".join(x for x, g in zip(lines, gone) if not g)))
+    return sorted(out, key=repr)
