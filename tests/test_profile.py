@@ -22,26 +22,45 @@ def values(spark):
     rows = [("big", rng.lognormvariate(3, 2)) for _ in range(6000)]
     rows += [("ties", float(rng.choice([1, 1, 1, 2, 5]))) for _ in range(2000)]
     rows += [("outlier", rng.random()) for _ in range(1500)] + [("outlier", 1e12), ("outlier", -1e12)]
-    rows += [("few", float(i)) for i in range(7)] + [("one", 4.5), ("none", None)]
+    rows += [("few", float(i)) for i in range(7)] + [("one", 4.5), ("none", None), (None, 2.5), (None, 3.5)]
     return spark.createDataFrame(rows, "g string, v double").repartition(5)
 
 
-def test_distributed_quantiles_are_exact(values, monkeypatch):
-    small = {r.g: r.q for r in profile.exact_quantiles(values, ["g"], "v").collect()}
-    monkeypatch.setattr(profile, "GATHER_LIMIT_BYTES", 0)
-    large = {r.g: r.q for r in profile.exact_quantiles(values, ["g"], "v").collect()}
-    assert set(small) == set(large) == {"big", "ties", "outlier", "few", "one"}
-    for g in small:
-        assert large[g] == pytest.approx(small[g], rel=1e-12), g
+def gathered(values):
+    probs = F.array(*[F.lit(p) for p in profile.QUARTILES])
+    return {r.g: r.q for r in values.dropna(subset=["v"]).groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()}
 
 
-def test_profile_without_gathering(values, monkeypatch):
-    small = profile.numeric_profile(values, ["v"]).first()
-    monkeypatch.setattr(profile, "GATHER_LIMIT_BYTES", 0)
-    large = profile.numeric_profile(values, ["v"]).first()
-    assert tuple(large)[1:] == pytest.approx(tuple(small)[1:], rel=1e-9)
+@pytest.mark.parametrize("most", [1_000_000, 3])
+def test_quantiles_are_exact(values, monkeypatch, most):
+    """Also where brackets have to be narrowed until three rows or one value are left."""
+    monkeypatch.setattr(profile, "BRACKET_ROWS", most)
+    got, want = {r.g: r.q for r in profile.exact_quantiles(values, ["g"], "v").collect()}, gathered(values)
+    assert set(got) == set(want) == {"big", "ties", "outlier", "few", "one", None}
+    for g in want:
+        assert got[g] == pytest.approx(want[g], rel=1e-12), g
+
+
+def test_quantiles_at_a_jump(spark):
+    """Half of the rows close together, the rest far away."""
+    jump = spark.range(8000).select(F.lit("a").alias("g"), F.when(F.col("id") < 6001, F.col("id") / 1e9).otherwise(F.col("id") * 1e9).alias("v"))
+    assert profile.exact_quantiles(jump, ["g"], "v").first().q == pytest.approx(gathered(jump)["a"], rel=1e-12)
+
+
+def test_profile_and_empty_input(values):
+    row = profile.numeric_profile(values, ["v"]).first()
     whole = profile.exact_quantiles(values, [], "v").first().q
-    assert whole == pytest.approx([large.q25, large.q50, large.q75], rel=1e-12)
+    assert whole == [row.q25, row.q50, row.q75] == pytest.approx(gathered(values.withColumn("g", F.lit("x")))["x"], rel=1e-12)
+    none = values.limit(0)
+    assert profile.exact_quantiles(none, [], "v").collect()[0].q is None
+    assert profile.exact_quantiles(none, ["g"], "v").collect() == []
+    empty = profile.numeric_profile(none, ["v"]).first()
+    assert (empty["count"], empty.q25, empty.q50, empty.q75) == (0, None, None, None)
+
+
+def test_rows_are_not_moved_by_group(values):
+    plan = profile.box_stats(values, "g", "v")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 def test_box_stats(values):

@@ -1,93 +1,121 @@
-"""Data profiles.  Quantiles are exact at any size: a small input uses Spark's
-``percentile``, which gathers a group's distinct values in one task; a larger
-one is narrowed by sketches and counting passes until a few values are left."""
+"""Data profiles.  Quantiles are exact at any size, by one method: sketches of
+fixed size bracket the wanted ranks, counting passes confirm the brackets, and
+only the values inside them are put in order."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.operators.columns import _per_column
-from weekloom.session import estimated_bytes
+from weekloom.session import stored
 
 QUARTILES = (0.25, 0.5, 0.75)
 HISTOGRAM_BINS = 30
 WHISKER_IQR = 1.5
-GATHER_LIMIT_BYTES = 32 * 1024 * 1024
 
-_SLOTS = 4096
-_SKETCH_ACCURACY = 10_000
-_MARGIN = 0.01  # bracket half-width in quantile units, far above the sketch error
-_SKETCH_MIN_ROWS = 1_000  # below this the bracket is the full range
+#: Most rows of one bracket that may be put in order in one task; brackets that
+#: hold more are narrowed again.
+BRACKET_ROWS = 1_000_000
+
+_SLOTS = 1_000
+_SKETCH_ACCURACY = 10_000  # rank error a tenth of a slot
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float] = QUARTILES) -> DataFrame:
-    """``by`` plus the array ``q``: linearly interpolated quantiles."""
+    """``by`` plus the array ``q``: linearly interpolated quantiles of the values
+    that are not null.  A null key is a group of its own, a group without values
+    has no row; without ``by`` there is one row, and ``q`` is null if there are no
+    values.
+
+    A quantile lies between two ranks.  Each rank keeps a closed bracket of values
+    that holds it and the number of rows below the bracket.  A pass over the rows
+    narrows all brackets to about three thousandths of their rows; passes go on
+    until each holds at most ``BRACKET_ROWS`` rows or one value.  Brackets are one
+    short row per group, stored, so that Catalyst knows their size when it joins
+    them to the rows; rows themselves are only counted, never moved by group."""
     rows = df.select(*by, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
-    if estimated_bytes(rows) <= GATHER_LIMIT_BYTES:
-        return rows.groupBy(*by).agg(F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("q"))
-    return _distributed_quantiles(rows, list(by), probs)
-
-
-def _distributed_quantiles(rows: DataFrame, by: list[str], probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles without gathering a group.  Pass 1 brackets each
-    quantile by a sketch of fixed size, pass 2 counts rows below the bracket
-    and in each of its slots, pass 3 ranks only the distinct values of the one
-    or two slots that hold the wanted ranks."""
-    asked = [min(max(p + side * _MARGIN, 0.0), 1.0) for p in probs for side in (-1, 1)]
-    brackets = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("_v").alias("lo"),
-        F.max("_v").alias("hi"),
-        F.percentile_approx("_v", asked, _SKETCH_ACCURACY).alias("s"),
-    )
-    options = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                (F.lit(p) * (F.col("n") - 1)).alias("h"),
-                F.when(F.col("n") < _SKETCH_MIN_ROWS, F.col("lo")).otherwise(F.col("s")[2 * i]).alias("from"),
-                F.when(F.col("n") < _SKETCH_MIN_ROWS, F.col("hi")).otherwise(F.col("s")[2 * i + 1]).alias("to"),
-            )
-            for i, p in enumerate(probs)
+    by, names = list(by), [f"_t{j}" for j in range(2 * len(probs))]
+    spread = F.array(*[F.lit(k / _SLOTS) for k in range(_SLOTS + 1)])
+
+    def sketch(v: Column) -> Column:
+        return F.percentile_approx(v, spread, _SKETCH_ACCURACY)
+
+    def with_brackets(brackets: DataFrame) -> DataFrame:
+        renamed = brackets.withColumnsRenamed({c: f"_b_{c}" for c in by})
+        if not by:
+            return rows.join(renamed)  # one row
+        return rows.join(renamed, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in by]))
+
+    def inside(t: str) -> Column:
+        return F.col("_v").between(F.col(f"{t}.lo"), F.col(f"{t}.hi"))
+
+    def cut(t: str) -> Column:
+        """A bracket with the two sketch values around its rank."""
+        slot = F.floor((F.col(f"{t}.rank") - F.col(f"{t}.below") + 0.5) / F.col(f"{t}.m") * _SLOTS).cast("int")
+        low, high = F.greatest(slot - 1, F.lit(0)), F.least(slot + 2, F.lit(_SLOTS))
+        parts = [F.col(f"{t}.{x}").alias(x) for x in ("rank", "lo", "hi", "below", "m")]
+        return F.struct(*parts, F.get(f"{t}_s", low).alias("cut_lo"), F.get(f"{t}_s", high).alias("cut_hi")).alias(t)
+
+    def counted(t: str) -> list[Column]:
+        v, low, high = F.col("_v"), F.col(f"{t}.cut_lo"), F.col(f"{t}.cut_hi")
+        return [
+            F.count_if(v < low).alias(f"{t}_lt"),
+            F.count_if(v <= high).alias(f"{t}_le"),
+            F.max(F.when(v < low, v)).alias(f"{t}_prev"),
+            F.min(F.when(v > high, v)).alias(f"{t}_next"),
+            F.first(t).alias(t),
         ]
-    )
-    wanted = brackets.select(*by, F.inline(options))
-    width = F.nullif(F.col("to") - F.col("from"), F.lit(0.0))
-    in_slot = F.least(F.floor(F.coalesce((F.col("_v") - F.col("from")) / width, F.lit(0.0)) * _SLOTS), F.lit(_SLOTS - 1))
-    slot = F.when(F.col("_v") < F.col("from"), F.lit(-1)).otherwise(in_slot)
-
-    def slotted(source: DataFrame) -> DataFrame:
-        joined = source.join(wanted, by) if by else _with_wanted(source, wanted)
-        return joined.filter(F.col("_v") <= F.col("to")).withColumn("slot", slot)
-
-    counts = slotted(rows).groupBy(*by, "i", "h", "slot").agg(F.count(F.lit(1)).alias("c"))
-    order = Window.partitionBy(*by, "i").orderBy("slot")
-    ends = counts.withColumn("end", F.sum("c").over(order)).withColumn("start", F.col("end") - F.col("c"))
-    low, high = F.floor("h"), F.ceil("h")
-    holds = (F.col("slot") >= 0) & (F.col("start") <= high) & (F.col("end") > low)
-    picked = ends.filter(holds).select(*by, "i", "slot", "start")
-    values = slotted(rows).join(picked, [*by, "i", "slot"]).groupBy(*by, "i", "h", "slot", "start", "_v").agg(
-        F.count(F.lit(1)).alias("c")
-    )
-    inner = Window.partitionBy(*by, "i", "slot").orderBy("_v")
-    ranked = values.withColumn("end", F.col("start") + F.sum("c").over(inner)).withColumn("first", F.col("end") - F.col("c"))
-
-    def at(rank):
-        return F.max(F.when((F.col("first") <= rank) & (F.col("end") > rank), F.col("_v")))
 
-    per_prob = ranked.groupBy(*by, "i").agg(at(low).alias("a"), at(high).alias("b"), F.first("h").alias("h"))
-    q = F.col("a") + (F.col("b") - F.col("a")) * (F.col("h") - F.floor("h"))
-    ordered = F.array_sort(F.collect_list(F.struct("i", q.alias("q"))))
-    return per_prob.groupBy(*by).agg(ordered.alias("_q")).select(*by, F.col("_q.q").alias("q"))
-
-
-def _with_wanted(source: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Attach the few bracket rows (one per quantile) when there is no group."""
-    all_rows = wanted.agg(F.collect_list(F.struct("i", "h", "from", "to")).alias("w")).scalar()
-    return source.select("_v", F.inline(all_rows))
+    def narrowed(t: str) -> Column:
+        """The part of the bracket that holds the rank: before, within or behind the cut."""
+        rank, lt, le = F.col(f"{t}.rank"), F.col(f"{t}_lt"), F.col(f"{t}_le")
+        before, behind = rank < lt, rank >= le
+        below = F.when(before, F.col(f"{t}.below")).when(behind, le).otherwise(lt)
+        upto = F.when(before, lt).when(behind, F.col(f"{t}.below") + F.col(f"{t}.m")).otherwise(le)
+        return F.struct(
+            rank.alias("rank"),
+            F.when(before, F.col(f"{t}.lo")).when(behind, F.col(f"{t}_next")).otherwise(F.col(f"{t}.cut_lo")).alias("lo"),
+            F.when(before, F.col(f"{t}_prev")).when(behind, F.col(f"{t}.hi")).otherwise(F.col(f"{t}.cut_hi")).alias("hi"),
+            below.alias("below"),
+            (upto - below).alias("m"),
+        ).alias(t)
+
+    def narrow(cuts: DataFrame) -> DataFrame:
+        counts = with_brackets(stored(cuts, "cuts")).groupBy(*by).agg(F.first("_n").alias("_n"), *[c for t in names for c in counted(t)])
+        return stored(counts.select(*by, "_n", *[narrowed(t) for t in names]), "brackets")
+
+    # Ranks 2i and 2i + 1 are the neighbours of quantile i.
+    whole = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), sketch(F.col("_v")).alias("_s"))
+    places = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
+    ranks = [side(place).cast("bigint") for place in places for side in (F.floor, F.ceil)]
+    start = [
+        F.struct(r.alias("rank"), F.col("_lo").alias("lo"), F.col("_hi").alias("hi"), F.lit(0).cast("bigint").alias("below"), F.col("_n").alias("m")).alias(t)
+        for t, r in zip(names, ranks, strict=True)
+    ]
+    first = whole.filter("_n > 0").select(*by, "_n", *start, *[F.col("_s").alias(f"{t}_s") for t in names])
+    brackets = narrow(first.select(*by, "_n", *[cut(t) for t in names]))
+    open_rows = F.greatest(*[F.when(F.col(f"{t}.lo") < F.col(f"{t}.hi"), F.col(f"{t}.m")).otherwise(0) for t in names])
+    while (brackets.agg(F.max(open_rows)).first()[0] or 0) > BRACKET_ROWS:
+        sketches = [sketch(F.when(inside(t), F.col("_v"))).alias(f"{t}_s") for t in names]
+        again = with_brackets(brackets).groupBy(*by).agg(*sketches, *[F.first(c).alias(c) for c in ("_n", *names)])
+        brackets = narrow(again.select(*by, "_n", *[cut(t) for t in names]))
+
+    held = [F.when(inside(t), F.struct(F.lit(j).alias("j"), F.col(f"{t}.rank").alias("rank"), F.col(f"{t}.below").alias("below"))) for j, t in enumerate(names)]
+    values = with_brackets(brackets).select(*by, "_n", "_v", F.inline(F.array_compact(F.array(*held))))
+    values = values.groupBy(*by, "_n", "j", "rank", "below", "_v").agg(F.count(F.lit(1)).alias("c"))
+    end = F.col("below") + F.sum("c").over(Window.partitionBy(*by, "j").orderBy("_v"))
+    at_rank = values.withColumn("end", end).filter((F.col("end") > F.col("rank")) & (F.col("end") - F.col("c") <= F.col("rank")))
+    found = at_rank.groupBy(*by).agg(F.max("_n").alias("_n"), *[F.max(F.when(F.col("j") == j, F.col("_v"))).alias(t) for j, t in enumerate(names)])
+    between = [
+        F.col(names[2 * i]) + (F.col(names[2 * i + 1]) - F.col(names[2 * i])) * (place - F.floor(place)) for i, place in enumerate(places)
+    ]
+    q = F.when(F.col("_n") > 0, F.array(*between))
+    return stored(found.select(*by, q.alias("q")), "quantiles")
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -101,10 +129,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         "max": lambda c: F.max(c.cast("double")),
     }
     fixed = ["column", "count", "mean", "std", "min", "max"]
-    picks = [F.col("q")[i].alias(name) for i, name in enumerate(("q25", "q50", "q75"))]
-    if estimated_bytes(df.select(*columns)) <= GATHER_LIMIT_BYTES:
-        probs = F.array(*[F.lit(p) for p in QUARTILES])
-        return _per_column(df, columns, **basics, q=lambda c: F.percentile(c.cast("double"), probs)).select(*fixed, *picks)
+    picks = [F.get("q", F.lit(i)).alias(name) for i, name in enumerate(("q25", "q50", "q75"))]
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
     quantiles = exact_quantiles(df.select(F.inline(pairs)), ["column"], "value")
     return _per_column(df, columns, **basics).join(quantiles, "column", "left").select(*fixed, *picks)

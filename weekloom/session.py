@@ -41,6 +41,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: computed once, safe from
+    lost executors, and of a size that Catalyst knows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partitioned by key into the session's full number of shuffle
     partitions.  For steps that compute much on few bytes, whose partitions AQE
