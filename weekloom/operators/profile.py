@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,8 +22,8 @@ WHISKER_IQR = 1.5
 #: hold more are narrowed again.
 BRACKET_ROWS = 1_000_000
 
-_SLOTS = 1_000
-_SKETCH_ACCURACY = 10_000  # rank error a tenth of a slot
+_SLOTS = 200
+_SKETCH_ACCURACY = 10_000  # rank error a fiftieth of a slot
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float] = QUARTILES) -> DataFrame:
@@ -34,22 +34,22 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
 
     A quantile lies between two ranks.  Each rank keeps a closed bracket of values
     that holds it and the number of rows below the bracket.  A pass over the rows
-    narrows all brackets to about three thousandths of their rows; passes go on
+    narrows all brackets to about a seventieth of their rows; passes go on
     until each holds at most ``BRACKET_ROWS`` rows or one value.  Brackets are one
     short row per group, stored, so that Catalyst knows their size when it joins
     them to the rows; rows themselves are only counted, never moved by group."""
     rows = df.select(*by, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
     by, names = list(by), [f"_t{j}" for j in range(2 * len(probs))]
-    spread = F.array(*[F.lit(k / _SLOTS) for k in range(_SLOTS + 1)])
+    spread = F.expr("array(" + ", ".join(f"{k / _SLOTS}D" for k in range(_SLOTS + 1)) + ")")
 
     def sketch(v: Column) -> Column:
         return F.percentile_approx(v, spread, _SKETCH_ACCURACY)
 
-    def with_brackets(brackets: DataFrame) -> DataFrame:
+    def keyed(left: DataFrame, brackets: DataFrame, how: str = "inner") -> DataFrame:
         renamed = brackets.withColumnsRenamed({c: f"_b_{c}" for c in by})
         if not by:
-            return rows.join(renamed)  # one row
-        return rows.join(renamed, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in by]))
+            return left.join(renamed)  # one row
+        return left.join(renamed, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in by]), how)
 
     def inside(t: str) -> Column:
         return F.col("_v").between(F.col(f"{t}.lo"), F.col(f"{t}.hi"))
@@ -61,33 +61,22 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
         parts = [F.col(f"{t}.{x}").alias(x) for x in ("rank", "lo", "hi", "below", "m")]
         return F.struct(*parts, F.get(f"{t}_s", low).alias("cut_lo"), F.get(f"{t}_s", high).alias("cut_hi")).alias(t)
 
-    def counted(t: str) -> list[Column]:
-        v, low, high = F.col("_v"), F.col(f"{t}.cut_lo"), F.col(f"{t}.cut_hi")
-        return [
-            F.count_if(v < low).alias(f"{t}_lt"),
-            F.count_if(v <= high).alias(f"{t}_le"),
-            F.max(F.when(v < low, v)).alias(f"{t}_prev"),
-            F.min(F.when(v > high, v)).alias(f"{t}_next"),
-            F.first(t).alias(t),
-        ]
-
     def narrowed(t: str) -> Column:
-        """The part of the bracket that holds the rank: before, within or behind the cut."""
+        """The cut where it holds the rank (a sketch within its error always does), else the bracket as it was."""
         rank, lt, le = F.col(f"{t}.rank"), F.col(f"{t}_lt"), F.col(f"{t}_le")
-        before, behind = rank < lt, rank >= le
-        below = F.when(before, F.col(f"{t}.below")).when(behind, le).otherwise(lt)
-        upto = F.when(before, lt).when(behind, F.col(f"{t}.below") + F.col(f"{t}.m")).otherwise(le)
-        return F.struct(
-            rank.alias("rank"),
-            F.when(before, F.col(f"{t}.lo")).when(behind, F.col(f"{t}_next")).otherwise(F.col(f"{t}.cut_lo")).alias("lo"),
-            F.when(before, F.col(f"{t}_prev")).when(behind, F.col(f"{t}.hi")).otherwise(F.col(f"{t}.cut_hi")).alias("hi"),
-            below.alias("below"),
-            (upto - below).alias("m"),
-        ).alias(t)
+        holds = (lt <= rank) & (rank < le)
+
+        def part(cut: Column, old: str) -> Column:
+            return F.when(holds, cut).otherwise(F.col(f"{t}.{old}")).alias(old)
+
+        cuts = part(F.col(f"{t}.cut_lo"), "lo"), part(F.col(f"{t}.cut_hi"), "hi")
+        return F.struct(rank.alias("rank"), *cuts, part(lt, "below"), part(le - lt, "m")).alias(t)
 
     def narrow(cuts: DataFrame) -> DataFrame:
-        counts = with_brackets(stored(cuts, "cuts")).groupBy(*by).agg(F.first("_n").alias("_n"), *[c for t in names for c in counted(t)])
-        return stored(counts.select(*by, "_n", *[narrowed(t) for t in names]), "brackets")
+        cuts, v = stored(cuts, "cuts"), F.col("_v")
+        sides = [c for t in names for c in (F.count_if(v < F.col(f"{t}.cut_lo")).alias(f"{t}_lt"), F.count_if(v <= F.col(f"{t}.cut_hi")).alias(f"{t}_le"))]
+        counts = keyed(rows, cuts).groupBy(*by).agg(*sides)
+        return stored(keyed(counts, cuts).select(*by, "_n", *[narrowed(t) for t in names]), "brackets")
 
     # Ranks 2i and 2i + 1 are the neighbours of quantile i.
     whole = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), sketch(F.col("_v")).alias("_s"))
@@ -100,22 +89,30 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
     first = whole.filter("_n > 0").select(*by, "_n", *start, *[F.col("_s").alias(f"{t}_s") for t in names])
     brackets = narrow(first.select(*by, "_n", *[cut(t) for t in names]))
     open_rows = F.greatest(*[F.when(F.col(f"{t}.lo") < F.col(f"{t}.hi"), F.col(f"{t}.m")).otherwise(0) for t in names])
-    while (brackets.agg(F.max(open_rows)).first()[0] or 0) > BRACKET_ROWS:
-        sketches = [sketch(F.when(inside(t), F.col("_v"))).alias(f"{t}_s") for t in names]
-        again = with_brackets(brackets).groupBy(*by).agg(*sketches, *[F.first(c).alias(c) for c in ("_n", *names)])
-        brackets = narrow(again.select(*by, "_n", *[cut(t) for t in names]))
-
-    held = [F.when(inside(t), F.struct(F.lit(j).alias("j"), F.col(f"{t}.rank").alias("rank"), F.col(f"{t}.below").alias("below"))) for j, t in enumerate(names)]
-    values = with_brackets(brackets).select(*by, "_n", "_v", F.inline(F.array_compact(F.array(*held))))
-    values = values.groupBy(*by, "_n", "j", "rank", "below", "_v").agg(F.count(F.lit(1)).alias("c"))
+
+    def widest() -> int:
+        return brackets.agg(F.max(open_rows)).first()[0] or 0
+
+    before, now = None, widest()
+    while now > BRACKET_ROWS and now != before:
+        sketches = keyed(rows, brackets).groupBy(*by).agg(*[sketch(F.when(inside(t), F.col("_v"))).alias(f"{t}_s") for t in names])
+        brackets = narrow(keyed(sketches, brackets).select(*by, "_n", *[cut(t) for t in names]))
+        before, now = now, widest()
+
+    # Brackets of one value are settled; the values inside the others are counted and put in order.
+    sought = {t: inside(t) & (F.col(f"{t}.lo") < F.col(f"{t}.hi")) for t in names}
+    held = [F.when(c, F.struct(F.lit(j).alias("j"), F.col(f"{t}.rank").alias("rank"), F.col(f"{t}.below").alias("below"))) for j, (t, c) in enumerate(sought.items())]
+    values = keyed(rows, brackets).filter(reduce(or_, sought.values())).select(*by, "_v", F.inline(F.array_compact(F.array(*held))))
+    values = values.groupBy(*by, "j", "rank", "below", "_v").agg(F.count(F.lit(1)).alias("c"))
     end = F.col("below") + F.sum("c").over(Window.partitionBy(*by, "j").orderBy("_v"))
     at_rank = values.withColumn("end", end).filter((F.col("end") > F.col("rank")) & (F.col("end") - F.col("c") <= F.col("rank")))
-    found = at_rank.groupBy(*by).agg(F.max("_n").alias("_n"), *[F.max(F.when(F.col("j") == j, F.col("_v"))).alias(t) for j, t in enumerate(names)])
-    between = [
-        F.col(names[2 * i]) + (F.col(names[2 * i + 1]) - F.col(names[2 * i])) * (place - F.floor(place)) for i, place in enumerate(places)
-    ]
-    q = F.when(F.col("_n") > 0, F.array(*between))
-    return stored(found.select(*by, q.alias("q")), "quantiles")
+    found = at_rank.groupBy(*by).agg(*[F.max(F.when(F.col("j") == j, F.col("_v"))).alias(f"{t}_v") for j, t in enumerate(names)])
+    at = [F.when(F.col(f"{t}.lo") == F.col(f"{t}.hi"), F.col(f"{t}.lo")).otherwise(F.col(f"{t}_v")) for t in names]
+    between = [at[2 * i] + (at[2 * i + 1] - at[2 * i]) * (place - F.floor(place)) for i, place in enumerate(places)]
+    q = F.array(*between).alias("q")
+    if not by:
+        return stored(brackets.join(found).select(q).agg(F.first("q").alias("q")), "quantiles")
+    return stored(keyed(brackets, found, "left").select(*by, q), "quantiles")
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,6 +1,5 @@
 from pyspark.sql import functions as F
 
-from weekloom.functions.dates import week_end
 from weekloom.operators.decompose import acf, decompose_additive, pacf
 from weekloom.operators.forecast import (
     autoregressive_forecast,
@@ -25,8 +24,6 @@ from weekloom.queries.stand_ins import (
     WEEKLY_SQL,
     genre_grid,
     genre_weekly,
-    table,
-    week_sql,
     weekly_tracks,
 )
 
@@ -44,16 +41,13 @@ def _resample_weekly_fill0(spark, d):
 
 @query(
     "asfreq_fill0",
-    "date:d total:f2",
-    f"""WITH totals AS (SELECT {week_sql("l_shipdate")} AS date, sum(l_extendedprice) AS total FROM lineitem
-        WHERE l_quantity > 49 AND l_discount > 0.09 GROUP BY 1) SELECT g.date, coalesce(t.total, 0) AS total FROM
-        (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 7 DAY)) AS DATE) AS date FROM totals) g
-        LEFT JOIN totals t ON g.date = t.date""",
+    "artist:s song:s date:d streams:f2",
+    f"""WITH {WEEKLY_SQL} SELECT g.artist, g.song, g.date, coalesce(w.streams, 0) AS streams FROM
+        (SELECT artist, song, CAST(unnest(generate_series(min(date), max(date), INTERVAL 7 DAY)) AS DATE) AS date
+         FROM weekly GROUP BY artist, song) g LEFT JOIN weekly w ON g.artist = w.artist AND g.song = w.song AND g.date = w.date""",
 )
 def _asfreq_fill0(spark, d):
-    rows = table(spark, d, "lineitem").filter("l_quantity > 49 AND l_discount > 0.09")
-    totals = rows.groupBy(week_end(F.col("l_shipdate")).alias("date")).agg(F.sum("l_extendedprice").alias("total"))
-    return asfreq_fill0(totals)
+    return asfreq_fill0(weekly_tracks(spark, d), ["artist", "song"], value="streams")
 
 
 @query(
