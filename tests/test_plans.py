@@ -85,6 +85,12 @@ def test_master_features_takes_what_is_there(tables):
     assert master_features(tables[0]).count() == 4
 
 
+def test_master_features_without_genres(tables):
+    base, acoustic, albums, *rest = tables
+    got = master_features(base, acoustic, albums.drop("genres"), *rest, top_tags=1)
+    assert got.count() == 4 and not [c for c in got.columns if c.startswith("deezer_genre_")]
+
+
 def test_model_dataset(spark, raw, tables):
     weekly = clean_chart(raw)
     features = master_features(*tables, top_tags=1)

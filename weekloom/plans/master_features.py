@@ -52,9 +52,10 @@ def master_features(
     if albums is not None:
         first = first_per_clean_key(albums, row_order(albums), NAMES).drop(INGEST_ORDER)
         df = join_by_clean_key_left(df, prefix_columns(first, "deezer_", NAMES), NAMES)
-        df = df.withColumn("_genres", split_labels(F.col("deezer_genres"), ","))
-        wanted = label_names(distinct_labels(df, "_genres"))
-        df = one_hot_multilabel(df, "_genres", wanted).drop("_genres")
+        if "deezer_genres" in df.columns:
+            df = df.withColumn("_genres", split_labels(F.col("deezer_genres"), ","))
+            wanted = label_names(distinct_labels(df, "_genres"))
+            df = one_hot_multilabel(df, "_genres", wanted).drop("_genres")
     if tags is not None:
         slim = select_present(tags, TAG_COLUMNS, [*NAMES, *([INGEST_ORDER] if INGEST_ORDER in tags.columns else [])])
         first = first_per_clean_key(slim, row_order(slim), NAMES).drop(INGEST_ORDER)

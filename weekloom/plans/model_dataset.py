@@ -44,7 +44,8 @@ def weekly_with_features(weekly: DataFrame, features: DataFrame, order: list[str
     df = keep_first(df, [*SERIES, "date"], list(order) or sorted(df.columns))
     df = add_time_series_features(df, metric_col=METRIC, id_cols=SERIES, lag_windows=MODEL_LAGS, roll_windows=MODEL_ROLLS)
     if RECORD_TYPE in df.columns:
-        kinds = label_names(features.select(F.col(RECORD_TYPE).alias("label")).dropna().distinct())
+        charted = features.join(weekly.select(*SERIES), SERIES, "left_semi")
+        kinds = label_names(charted.select(F.col(RECORD_TYPE).alias("label")).dropna().distinct())
         df = one_hot_single(df, RECORD_TYPE, kinds)
     return df
 
