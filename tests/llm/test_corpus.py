@@ -146,6 +146,39 @@ def test_mix(spark, docs):
     assert sum(r.taken for r in shared) == pytest.approx(1.5 * sum(r.size for r in shared), abs=3)
 
 
+def test_mix_of_more_sources_than_any_driver_list(spark):
+    n = 100_001
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("a b c d").alias("text"), F.col("id").cast("string").alias("source"))
+    got = mix(docs, F.array("source")).agg(F.count("*"), F.sum("size"), F.sum("taken"), F.max(F.abs(F.col("taken") - F.col("target")))).first()
+    assert got[:2] == (n, 4 * n) and abs(got[2] - 6 * n) <= 1 and got[3] <= 1
+
+
+def test_mix_by_component(spark):
+    rows = [(k, f"w{k} " * (k % 11 + 1), "en", "s") for k in range(400)]
+    names = [["a"], ["a", "b"], ["b"], ["c"], ["d", "e"], ["f"], ["e", "g"], ["d"], [], [None]]
+    of = F.element_at(F.array(*[F.array(*[F.lit(x).cast("string") for x in p]).cast("array<string>") for p in names]), (F.col("doc_id") % 10 + 1).cast("int"))
+    out = mix(table_of(spark, rows), of).collect()
+    sizes, taken = Counter(), Counter()
+    for r in out:
+        sizes[tuple(r.pattern)] += r.size
+        taken[tuple(r.pattern)] += r.taken
+    order = [*"abcdefg", None]
+    own = [sum(v for p, v in sizes.items() if x in p) for x in order]
+    targets = fill(own, [(5.0, 2.0, 1.0)[k % 3] for k in range(8)], 1.5 * sum(v for p, v in sizes.items() if p), 2)
+    quotas = np.diff(np.rint(np.cumsum([0.0, *targets])).astype(int)).tolist()
+    for r in out:
+        if r.pattern:
+            assert (r.source_size, r.target) == (own[order.index(r.pattern[0])], pytest.approx(targets[order.index(r.pattern[0])]))
+    found = sorted(sizes, key=repr)
+    want = min_cost_flow([sizes[p] for p in found], [[order.index(x) for x in p] for p in found], quotas, 2)
+    assert sum(want) == sum(taken.values()) and taken[()] == 0
+    for p, t in zip(found, want, strict=True):
+        if p in {("c",), ("f",), (None,)}:
+            assert taken[p] == t
+    extra = [sum(max(0, t - sizes[p]) for p, t in zip(found, ts, strict=True)) for ts in (want, [taken[p] for p in found])]
+    assert extra[0] == extra[1]
+
+
 def test_weak_labels(spark):
     votes = pattern_votes(np.arange(3**10))
     rng = np.random.default_rng(5)

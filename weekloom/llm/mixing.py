@@ -9,24 +9,21 @@ in a seeded order get the last, partial repetition; everything before it all get
 Results by case: a null text has size 0; rows without a source form the source
 null, last in order; an empty list of sources takes part in nothing; documents of
 size 0 are taken 0 times; rows that tie in the seeded order (same id and size)
-share the rest evenly; an empty table mixes to nothing.  Patterns and sources are
-collected to the driver, at most ``MAX_PATTERNS`` of them.
+share the rest evenly; an empty table mixes to nothing.  Patterns and sources stay
+in tables; only sources that share patterns meet in a flow, one task for each
+connected component.
 """
 
 from __future__ import annotations
 
-import heapq
 from dataclasses import dataclass
-from itertools import cycle, islice
 
-import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weekloom.llm.scratch import dropping, fresh, n_words, written
-
-#: More patterns than this are refused; the flow is solved on one machine.
-MAX_PATTERNS = 100_000
+from weekloom.llm.components import components
+from weekloom.llm.scratch import dropping, fresh, n_words, partitions, written
 
 #: Hex digits of the seeded key that make a histogram cell.
 CELL_DIGITS = 4
@@ -59,61 +56,154 @@ def fill(sizes: list[int], weights: list[float], total: float, repeats: int) ->
 
 
 def min_cost_flow(supply: list[int], member: list[list[int]], quota: list[int], repeats: int) -> list[int]:
-    """Words taken of each pattern.
+    """Words taken of each pattern, at the least sum of repetition numbers.
 
-    Successive cheapest paths from a source over (pattern, repetition) arcs of
-    cost 1, 2, ... and free membership arcs to quotas."""
+    Only the arcs into patterns cost anything (the repetition, 1, 2, ...), so a
+    cheapest path costs its repetition: each repetition adds a maximum flow
+    (Dinic's levels and blocking flows) to those before it."""
     n, m = len(supply), len(quota)
     first, last = n + m, n + m + 1
     graph: list[list[int]] = [[] for _ in range(n + m + 2)]
-    to, cap, cost = [], [], []
+    to: list[int] = []
+    cap: list[int] = []
 
-    def arc(a: int, b: int, room: int, price: int) -> None:
+    def arc(a: int, b: int, room: int) -> None:
         graph[a].append(len(to))
         graph[b].append(len(to) + 1)
         to.extend((b, a))
         cap.extend((room, 0))
-        cost.extend((price, -price))
 
     for p in range(n):
-        for r in range(repeats):
-            arc(first, p, supply[p], r + 1)
+        arc(first, p, 0)
+    for p in range(n):
         for s in member[p]:
-            arc(p, n + s, repeats * supply[p], 0)
+            arc(p, n + s, repeats * supply[p])
     for s in range(m):
-        arc(n + s, last, quota[s], 0)
-    height = [0] * len(graph)
+        arc(n + s, last, quota[s])
+
+    def levels() -> list[int]:
+        level = [-1] * len(graph)
+        level[first], ring = 0, [first]
+        while ring and level[last] < 0:
+            ahead = []
+            for a in ring:
+                for e in graph[a]:
+                    if cap[e] and level[to[e]] < 0:
+                        level[to[e]] = level[a] + 1
+                        ahead.append(to[e])
+            ring = ahead
+        return level
+
+    for _ in range(repeats):
+        for p in range(n):
+            cap[2 * p] += supply[p]
+        while (level := levels())[last] >= 0:
+            at, path = [0] * len(graph), []
+            while True:
+                a = to[path[-1]] if path else first
+                if a == last:
+                    room = min(cap[e] for e in path)
+                    for e in path:
+                        cap[e] -= room
+                        cap[e ^ 1] += room
+                    path = path[: next(k for k, e in enumerate(path) if not cap[e])]
+                    continue
+                while at[a] < len(graph[a]) and not (cap[e := graph[a][at[a]]] and level[to[e]] == level[a] + 1):
+                    at[a] += 1
+                if at[a] < len(graph[a]):
+                    path.append(graph[a][at[a]])
+                elif path:
+                    at[to[path.pop() ^ 1]] += 1
+                else:
+                    break
+    return [cap[2 * p + 1] for p in range(n)]
+
+
+def _before(ranged: DataFrame, **sums: F.Column) -> dict[str, F.Column]:
+    """Sum of each column over all rows of smaller ``part`` or, inside it, smaller
+    ``source``; only one row per part comes to the driver."""
+    totals = {r.part: r for r in ranged.groupBy("part").agg(*[F.sum(c).alias(k) for k, c in sums.items()]).collect()}
+    upto = Window.partitionBy("part").orderBy("source")
+    out = {}
+    for k, c in sums.items():
+        starts, running = [], 0
+        for part in range(max(totals, default=0) + 1):
+            starts.append(running)
+            running += totals[part][k] if part in totals else 0
+        start = F.element_at(F.lit(starts).cast("array<bigint>"), F.col("part") + 1)
+        out[k] = start + F.sum(c).over(upto) - c
+    return out
+
+
+def _quotas(patterns: DataFrame, how: Mix) -> DataFrame:
+    """(source, own, target, quota) of every source: ``fill`` on a table.
+
+    Sources are in order by code point (the null source, whose mark follows the
+    letter of the others, is last).  Sums are of whole numbers, so that neither
+    the order of rows nor the number of partitions changes a target."""
+    spark, m = patterns.sparkSession, len(how.weights)
+    own = patterns.select(F.explode("pattern").alias("source"), "size").groupBy("source").agg(F.sum("size").alias("own"))
+    own = own.repartitionByRange(partitions(spark), "source").withColumn("part", F.spark_partition_id())
+    own = written(own, "own")
+    place = _before(own, place=F.lit(1).cast("bigint"))["place"]
+    sources = written(own.withColumn("turn", (place % m).cast("int")), "sources")
+
+    total = how.share * (patterns.where(F.size("pattern") > 0).agg(F.sum("size")).first()[0] or 0)
+    w = F.element_at(F.lit([float(x) for x in how.weights]), F.col("turn") + 1)
+    tops = F.col("own") * how.repeats
+    # sources at their top leave the rest to the others until no more reach theirs
+    n_full, left, weight, full = -1, total, None, F.lit(False)
     while True:
-        dist, via = [None] * len(graph), [-1] * len(graph)
-        heap = [(0, first)]
-        dist[first] = 0
-        while heap:
-            d, a = heapq.heappop(heap)
-            if d > dist[a]:
-                continue
-            for e in graph[a]:
-                if cap[e]:
-                    new = d + cost[e] + height[a] - height[to[e]]
-                    if dist[to[e]] is None or new < dist[to[e]]:
-                        dist[to[e]], via[to[e]] = new, e
-                        heapq.heappush(heap, (new, to[e]))
-        if dist[last] is None:
+        rows = sources.groupBy("turn").agg(F.count_if(full).alias("full"), F.count_if(~full).alias("open"), F.sum(F.when(full, tops)).alias("tops")).collect()
+        n = sum(r.full for r in rows)
+        if n == n_full:
             break
-        for a, d in enumerate(dist):
-            height[a] += d if d is not None else dist[last]
-        room, a = None, last
-        while a != first:
-            room = cap[via[a]] if room is None else min(room, cap[via[a]])
-            a = to[via[a] ^ 1]
-        a = last
-        while a != first:
-            cap[via[a]] -= room
-            cap[via[a] ^ 1] += room
-            a = to[via[a] ^ 1]
-    taken = [0] * n
-    for e in graph[first]:
-        taken[to[e]] += cap[e ^ 1]
-    return taken
+        n_full, left = n, total - sum(r.tops or 0 for r in rows)
+        weight = float(sum(r.open * how.weights[r.turn] for r in sorted(rows)))
+        full = tops * F.lit(weight) <= w * F.lit(left) if any(r.open for r in rows) else F.lit(True)
+    weight = weight or 1.0
+    share = F.lit(left) * w / F.lit(weight)
+    flagged = sources.withColumn("full", full)
+    sums = {"tops": F.when(F.col("full"), tops).otherwise(F.lit(0)).cast("bigint")}
+    sums |= {f"open{k}": (~F.col("full") & (F.col("turn") == k)).cast("bigint") for k in range(m)}
+    before = _before(flagged, **sums)
+
+    def edge(at: dict[str, F.Column]) -> F.Column:
+        weights = sum((at[f"open{k}"] * F.lit(float(how.weights[k])) for k in range(m)), F.lit(0.0))
+        return F.rint(at["tops"] + weights * F.lit(left) / F.lit(weight)).cast("bigint")
+
+    quota = edge({k: before[k] + c for k, c in sums.items()}) - edge(before)
+    return written(flagged.select("source", "own", F.when(F.col("full"), tops.cast("double")).otherwise(share).alias("target"), quota.alias("quota")), "quotas")
+
+
+def _taken(patterns: DataFrame, quotas: DataFrame, repeats: int) -> DataFrame:
+    """(pattern, size, own, target, taken) of every pattern with a source.
+
+    A source that is in no pattern but its own takes what its quota allows.
+    Sources that share patterns form components, each solved in its own task."""
+    links = patterns.where(F.size("pattern") > 1).select(F.col("pattern")[0].alias("a"), F.explode(F.expr("slice(pattern, 2, size(pattern) - 1)")).alias("b"))
+    group = components(links)
+    rows = patterns.where(F.size("pattern") > 0).withColumn("source", F.col("pattern")[0]).join(quotas, "source")
+    alone = F.least("quota", F.col("size") * repeats).alias("taken")
+    if group.isEmpty():
+        return rows.select("pattern", "size", "own", "target", alone)
+    group = written(group.union(group.select("v", "v").distinct()).toDF("source", "component"), "linked")
+    rows = rows.join(group, "source", "left")
+
+    def solve(left: pa.Table, right: pa.Table) -> pa.Table:
+        sources = right.sort_by("source")
+        place = {s: k for k, s in enumerate(sources["source"].to_pylist())}
+        found = sorted(zip(left["pattern"].to_pylist(), left["size"].to_pylist(), left["own"].to_pylist(), left["target"].to_pylist(), strict=True))
+        taken = min_cost_flow([r[1] for r in found], [[place[x] for x in r[0]] for r in found], sources["quota"].to_pylist(), repeats)
+        names = ["pattern", "size", "own", "target", "taken"]
+        kinds = [pa.list_(pa.string()), pa.int64(), pa.int64(), pa.float64(), pa.int64()]
+        return pa.table([pa.array(c, k) for c, k in zip([*zip(*found, strict=True), taken], kinds, strict=True)], names)
+
+    tangled = rows.where("component is not null").select("component", "pattern", "size", "own", "target")
+    limits = quotas.join(group, "source").select(F.col("component").alias("held"), "source", "quota")
+    schema = "pattern array<string>, size bigint, own bigint, target double, taken bigint"
+    solved = tangled.groupBy("component").cogroup(limits.groupBy("held")).applyInArrow(solve, schema)
+    return rows.where("component is null").select("pattern", "size", "own", "target", alone).union(solved)
 
 
 def mix(docs: DataFrame, sources: F.Column, id_col: str = "doc_id", text_col: str = "text", how: Mix | None = None) -> DataFrame:
@@ -122,7 +212,6 @@ def mix(docs: DataFrame, sources: F.Column, id_col: str = "doc_id", text_col: st
     source_size and target belong to the first source of the pattern.  Columns
     of ``docs`` with these names are replaced."""
     how = how or Mix()
-    spark = docs.sparkSession
     size, key, pat = fresh(docs, "size"), fresh(docs, "key"), fresh(docs, "pattern")
     id_text = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
     names = F.array_sort(F.array_distinct(F.transform(sources, lambda s: F.coalesce(F.concat(F.lit("s"), s), F.lit("~")))))
@@ -132,30 +221,11 @@ def mix(docs: DataFrame, sources: F.Column, id_col: str = "doc_id", text_col: st
     cells = sized.groupBy("pattern", F.substring("key", 1, CELL_DIGITS).alias("cell")).agg(F.sum("size").alias("size"))
     cells = written(cells, "cells")
 
-    rows = cells.groupBy("pattern").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
-    if len(rows) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    patterns = sorted((tuple(r.pattern), r.size) for r in rows)
-    # by code point; the null source, whose mark follows the letter of the others, is last
-    order = sorted({s for p, _ in patterns for s in p})
-    place = {s: k for k, s in enumerate(order)}
-    total = sum(s for p, s in patterns if p)
-    own = [0] * len(order)
-    for p, s in patterns:
-        for name in p:
-            own[place[name]] += s
-    weights = list(islice(cycle(how.weights), len(order)))
-    targets = fill(own, weights, how.share * total, how.repeats)
-    quotas = np.diff(np.rint(np.cumsum([0.0, *targets])).astype(np.int64)).tolist()
-    taken = min_cost_flow([s for _, s in patterns], [[place[x] for x in p] for p, _ in patterns], quotas, how.repeats)
-
-    plan = []
-    for (p, s), t in zip(patterns, taken, strict=True):
-        k = place[p[0]] if p else None
-        whole = t // s if s else 0
-        plan.append((list(p), own[k] if p else 0, targets[k] if p else 0.0, whole, t - whole * s))
-    schema = "pattern array<string>, source_size bigint, target double, whole bigint, rest bigint"
-    plan_df = spark.createDataFrame(plan, schema).coalesce(1)
+    patterns = written(cells.groupBy("pattern").agg(F.sum("size").alias("size")), "patterns")
+    taken = _taken(patterns, _quotas(patterns, how), how.repeats)
+    whole = F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(0)
+    plan = taken.select("pattern", F.col("own").alias("source_size"), "target", whole.alias("whole"), (F.col("taken") - whole * F.col("size")).alias("rest"))
+    plan_df = written(plan, "plan")
 
     # the cell, and in it the key, at which the partial repetition ends
     upto = Window.partitionBy("pattern").orderBy("cell")
