@@ -214,5 +214,19 @@ def test_pooled_trees_beat_the_last_value(spark):
     assert len(drawn) == 10 and all(50 <= p["numTrees"] < 150 and 5 <= p["maxDepth"] < 20 for p in drawn)
 
 
+def test_registered_trees_run_the_whole_search(spark, monkeypatch):
+    import weekloom.queries.forecasts as forecasts
+    from weekloom.operators.trees import BOOSTING_RANGES
+
+    calls = {}
+    columns = [F.lit(None).cast(k).alias(c) for c, k in dict(artist="string", song="string", date="date", actual="double", predicted="double", best_params="string").items()]
+    monkeypatch.setattr(forecasts, "weekly_tracks", lambda spark, d: None)
+    monkeypatch.setattr(forecasts, "tuned_ensemble", lambda df, family, **how: calls.update({family: how}) or spark.range(0).select(*columns))
+    for name in ("tuned_forest", "tuned_boosting"):
+        entry.queries()[name](None, "")
+    assert calls == {"rf": {"target": "streams"}, "lgbm": {"target": "streams"}}
+    assert [2**d for d in range(*BOOSTING_RANGES["maxDepth"])] == [32, 64] and "subsamplingRate" in BOOSTING_RANGES
+
+
 def test_registered_names():
     assert len(entry.queries()) >= 130

@@ -35,11 +35,13 @@ SPLITS = 3
 SEED = 42
 
 # Ranges of the random search (upper ends exclusive for whole
-# numbers) and the parameters used when no draw could be scored.
+# numbers) and the parameters used when no draw could be scored.  The source's
+# boosted trees grow by leaf, to 20-59 leaves; MLlib's grow by level, so their
+# depth is that of trees of this size (32 or 64 leaves).
 FOREST_RANGES = {"numTrees": (50, 150), "maxDepth": (5, 20), "minInstancesPerNode": (3, 15)}
 FOREST_DEFAULT = {"numTrees": 50, "maxDepth": 10, "minInstancesPerNode": 5}
 BOOSTING_RANGES = {
-    "maxIter": (50, 250), "stepSize": (0.01, 0.16), "maxDepth": (5, 20),
+    "maxIter": (50, 250), "stepSize": (0.01, 0.16), "maxDepth": (5, 7),
     "subsamplingRate": (0.6, 1.0), "minInstancesPerNode": (5, 30),
 }
 BOOSTING_DEFAULT = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 5}

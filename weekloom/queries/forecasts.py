@@ -123,14 +123,12 @@ def _grid_tuned_trend_season(spark, d):
 
 @query("tuned_forest", "artist:s song:s date:d actual:f2 predicted:f2 best_params:s")
 def _tuned_forest(spark, d):
-    ranges = {"numTrees": (10, 20), "maxDepth": (5, 8), "minInstancesPerNode": (3, 15)}
-    return tuned_ensemble(weekly_tracks(spark, d), "rf", target="streams", draws=2, ranges=ranges)
+    return tuned_ensemble(weekly_tracks(spark, d), "rf", target="streams")
 
 
 @query("tuned_boosting", "artist:s song:s date:d actual:f2 predicted:f2 best_params:s")
 def _tuned_boosting(spark, d):
-    ranges = {"maxIter": (5, 10), "stepSize": (0.05, 0.16), "maxDepth": (4, 6), "minInstancesPerNode": (5, 30)}
-    return tuned_ensemble(weekly_tracks(spark, d), "lgbm", target="streams", draws=2, ranges=ranges)
+    return tuned_ensemble(weekly_tracks(spark, d), "lgbm", target="streams")
 
 
 @query(
