@@ -41,6 +41,16 @@ def test_spans_and_owners(spark):
     assert "owned" in by_id[1] and "owned" not in by_id[2]
 
 
+def test_values_copied_inside_one_source(spark):
+    wide = [(100 + k, "a", f"x {COPIED} y") for k in range(11)]
+    again = [(200, "a", f"x {LIVE} y")] * 11 + [(None, "a", f"z {LIVE}")]
+    docs = spark.createDataFrame(wide + again, "doc_id bigint, source string, text string")
+    out = {(r.doc_id, bool(r.spans), r.n_live, r.n_copied) for r in scan_secrets(docs).collect()}
+    assert out == {(100 + k, False, 0, 1) for k in range(11)} | {(200, True, 1, 0), (None, True, 1, 0)}
+    loose = scan_secrets(docs, rule=Ownership(docs=11)).collect()
+    assert all((r.n_live, r.n_copied) == (1, 0) for r in loose)
+
+
 def test_empty_table(spark):
     assert run(spark, []).collect() == []
 

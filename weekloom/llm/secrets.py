@@ -3,13 +3,13 @@
 Three patterns find assigned values, access keys and long hexadecimal runs.
 Further candidates are words of mixed characters that look random.  For every
 candidate value the whole corpus is asked how many documents (repositories) and
-how many owners hold it: a value of many owners is a copied example, one that
-stays with few owners and looks random is live-looking.  Live-looking further
+how many owners hold it: a value of many owners or of many documents is a copied
+example, one that stays with few of both and looks random is live-looking.  Live-looking further
 candidates are added to the spans as kind ``owned``; spans of the patterns stay.
 
 Results by case: a null or empty text has no spans; a null owner is an owner of
-its own; values that repeat inside a document count it once; repeated rows are
-documents of their own; offsets are in code points, ends exclusive.
+its own; values that repeat inside a document count it once; rows of the same id
+(null is one id) count as one document, and each has its spans; offsets are in code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -42,10 +42,12 @@ _DIGIT[48:58] = True
 
 @dataclass(frozen=True)
 class Ownership:
-    """A value is live-looking with at most ``owners`` owners, at least ``length``
-    characters, letters and ``digits`` digits, and ``entropy`` bits a character."""
+    """A value is live-looking with at most ``owners`` owners and ``docs`` documents
+    (distinct ids, of one owner or several), at least ``length`` characters, letters
+    and ``digits`` digits, and ``entropy`` bits a character."""
 
     owners: int = 1
+    docs: int = 10
     length: int = 16
     digits: int = 2
     entropy: float = 3.0
@@ -138,11 +140,12 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, owner_col: str, rule: Own
 
 
 def ownership(scanned: DataFrame) -> DataFrame:
-    """(value, n_docs, n_owners) of every candidate value: a value's documents are
-    first added up by owner, so a value of a third of all rows is no hot key."""
-    held = scanned.select("owner", F.explode(F.array_distinct(F.transform("spans", lambda s: s["value"]))).alias("value"))
-    by_owner = held.groupBy("value", "owner").agg(F.count("*").alias("n"))
-    return by_owner.groupBy("value").agg(F.sum("n").alias("n_docs"), F.count("*").alias("n_owners"))
+    """(value, n_docs, n_owners) of every candidate value: distinct ids and distinct
+    owners are added up before they meet by value, so a value of a third of all rows
+    is no hot key."""
+    held = scanned.select("id", "owner", F.explode(F.array_distinct(F.transform("spans", lambda s: s["value"]))).alias("value"))
+    # a null in a struct counts, as one id or owner
+    return held.groupBy("value").agg(F.count_distinct(F.struct("id")).alias("n_docs"), F.count_distinct(F.struct("owner")).alias("n_owners"))
 
 
 def scan_secrets(
@@ -155,12 +158,12 @@ def scan_secrets(
     scanned = written(_scan(docs, id_col, text_col, owner_col, rule), "spans")
     known = written(ownership(scanned), "ownership")
     held = scanned.where(F.size("spans") > 0).select("row", F.explode("spans").alias("s")).select("row", "s.*").distinct()
-    judged = held.join(known, "value").withColumn("live", F.col("random") & (F.col("n_owners") <= rule.owners))
+    judged = held.join(known, "value").withColumn("live", F.col("random") & (F.col("n_owners") <= rule.owners) & (F.col("n_docs") <= rule.docs))
     span = F.struct("start", "kind", "stop")
     per_row = judged.groupBy("row").agg(
         F.collect_list(F.when((F.col("kind") < 3) | F.col("live"), span)).alias("all"),
         F.count_if(F.col("live")).alias("n_live"),
-        F.count_if(F.expr("not live and n_owners > 1")).alias("n_copied"),
+        F.count_if(~F.col("live") & ((F.col("n_owners") > 1) | (F.col("n_docs") > rule.docs))).alias("n_copied"),
     )
     # rows without spans have no key and stay out of the join
     found = scanned.where("row is not null").select("id", "row").join(per_row, "row")
