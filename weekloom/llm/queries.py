@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekloom.llm.decontaminate import contamination
+from weekloom.llm.fill_in_middle import fill_in_middle, restored
 from weekloom.llm.language_model import score_texts
 from weekloom.llm.line_dedup import drop_common_lines
 from weekloom.llm.mixing import mix
@@ -182,3 +183,30 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digests = {"output_sha256": F.col("output"), "restored_sha256": restored(F.col("output"), F.col("form"))}
+    columns = [F.sha2(text.cast("binary"), 256).alias(name) for name, text in digests.items()]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *columns)
+
+
+ORACLES["op12_fill_in_middle"] = """
+with keyed as (select doc_id, coalesce(text, '') as text, sha256('1:' || coalesce(doc_id::varchar, '')) as key from documents),
+drawn as (
+  select *, length(text)::bigint as n, ('0x' || key[1:8])::bigint as h1, ('0x' || key[9:16])::bigint as h2,
+         ('0x' || key[17:24])::bigint as h3, ('0x' || key[25:32])::bigint as h4
+  from keyed),
+cut as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+         case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain'
+              when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from drawn),
+parts as (select *, substring(text, 1, a) as prefix, substring(text, a + 1, b - a) as middle, substring(text, b + 1, n - b) as suffix from cut)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256
+from parts"""
