@@ -14,6 +14,7 @@ from weekloom.llm.language_model import score_texts
 from weekloom.llm.line_dedup import drop_common_lines
 from weekloom.llm.mixing import mix
 from weekloom.llm.near_dup import Shape, near_duplicates
+from weekloom.llm.prefix_trie import grafted, prefix_trie
 from weekloom.llm.quality_classifier import classify
 from weekloom.llm.quality_rules import risk_controlled
 from weekloom.llm.scratch import table
@@ -210,3 +211,45 @@ select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, ca
                         else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
        sha256(text) as restored_sha256
 from parts"""
+
+
+@_query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(grafted(table(spark, sf_dir, "conversations")))
+
+
+ORACLES["op13_prefix_trie"] = """
+with cells as (
+  select conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as id,
+         len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> ''))::bigint as w
+  from conversations where conv_id is not null),
+own as (
+  select conv_id, list(id order by turn nulls first, id) as ids, list(w order by turn nulls first, id) as ws from cells group by conv_id),
+bits as (
+  select conv_id, unnest(range(8 * len(conv_id::varchar))) as k, conv_id::varchar as c from own),
+streams as (
+  select conv_id, list((ascii(c[(k // 8 + 1)::int]) >> (k % 8)::int) & 1 order by k) as b from bits group by conv_id),
+crc as (
+  select conv_id, xor(list_reduce(list_concat([4294967295::bigint], list_transform(b, lambda x: x::bigint)),
+                  lambda c, x: xor(c >> 1, 3988292384::bigint * (xor(c, x) & 1))), 4294967295::bigint) as crc
+  from streams),
+paths as (
+  select o.conv_id, list_concat(coalesce(b.ids, [])[1:(crc % 4)::int], o.ids[(crc % 4)::int + 1:]) as ids,
+         list_concat(coalesce(b.ws, [])[1:(crc % 4)::int], o.ws[(crc % 4)::int + 1:]) as ws
+  from own o join crc on o.conv_id = crc.conv_id left join own b on b.conv_id = o.conv_id - o.conv_id % 20),
+steps as (
+  select conv_id, d, md5(array_to_string(ids[1:d], ',')) as node, case when d > 0 then md5(array_to_string(ids[1:d - 1], ',')) end as parent,
+         case when d > 0 then ws[d] else 0 end as w, d = len(ids) as ends
+  from (select *, unnest(range(len(ids) + 1))::int as d from paths)),
+nodes as (
+  select node, min(parent) as parent, min(d) as depth, min(conv_id) as conv_id, count(*) as n_convs, min(w) as w,
+         coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '') as ended
+  from steps group by node),
+kids as (select parent as node, count(*) as n_children from nodes where parent is not null group by parent),
+below as (
+  select s.node, count(*) filter (where k.node is null) as n_leaves, sum((n.n_convs - 1) * n.w)::bigint as saved
+  from nodes n join steps s on s.conv_id = n.conv_id and s.d <= n.depth left join kids k on k.node = n.node
+  group by s.node)
+select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(k.n_children, 0)::bigint as n_children,
+       b.n_leaves, b.saved as saved_tokens, sha256(n.ended) as ends_sha256
+from nodes n join below b on n.node = b.node left join kids k on n.node = k.node left join nodes p on n.parent = p.node"""
