@@ -19,6 +19,7 @@ from weekloom.llm.quality_classifier import classify
 from weekloom.llm.quality_rules import risk_controlled
 from weekloom.llm.scratch import table
 from weekloom.llm.secrets import KINDS, scan_secrets, spans_text
+from weekloom.llm.suffix_dedup import without_repeats
 from weekloom.llm.token_count import token_counts
 
 from weekloom.llm.warc import round_trip
@@ -253,3 +254,9 @@ below as (
 select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(k.n_children, 0)::bigint as n_children,
        b.n_leaves, b.saved as saved_tokens, sha256(n.ended) as ends_sha256
 from nodes n join below b on n.node = b.node left join kids k on n.node = k.node left join nodes p on n.parent = p.node"""
+
+
+@_query
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -103,7 +103,7 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> Texts:
     """Nulls count as empty texts."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    column = column.cast(pa.large_binary()).fill_null(b"") if pa.types.is_binary(column.type) else column.cast(pa.large_string()).fill_null("")
     at = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
@@ -158,6 +158,33 @@ def ngram_hashes(hashes: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray
     return rolled[keep], offsets
 
 
+def byte_gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of every ``size`` consecutive bytes."""
+    n = len(data)
+    if n < size:
+        return np.empty(0, np.uint64)
+    sums = np.empty(n + 1, np.uint64)
+    sums[0] = 0
+    np.multiply(_BYTE_VALUE[data], _power(_PRIME, "up", n), out=sums[1:])
+    np.cumsum(sums, out=sums)
+    h = sums[size:] - sums[:-size]
+    h *= _power(_INVERSE, "down", n)[: len(h)]
+    return mix64(h)
+
+
+def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
+    """The smallest of every ``width`` consecutive values."""
+    n = len(values)
+    if n < width:
+        return values[:0]
+    rows = np.full(-(-n // width) * width, np.iinfo(values.dtype).max, values.dtype)
+    rows[:n] = values
+    rows = rows.reshape(-1, width)
+    up = np.minimum.accumulate(rows, axis=1).ravel()
+    down = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(down[: n - width + 1], up[width - 1 : n])
+
+
 def binary16(pairs: np.ndarray) -> pa.Array:
     """Rows of two 64-bit words as 16-byte binaries."""
     flat = np.ascontiguousarray(pairs, np.uint64)

@@ -24,6 +24,16 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``written``, as an unmanaged table in buckets of ``key``: later joins on it
+    move the other side only."""
+    path, n = scratch_path(df.sparkSession, name), partitions(df.sparkSession)
+    table_name = path.rsplit("/", 1)[1].replace("-", "_")
+    rows = df.repartition(n, key).write.bucketBy(n, key).sortBy(key)
+    rows.option("path", path).option("compression", "zstd").format("parquet").saveAsTable(table_name)
+    return df.sparkSession.table(table_name)
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have (names compare without case)."""
     have = {c.lower() for c in df.columns}
