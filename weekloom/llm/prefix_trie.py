@@ -171,10 +171,10 @@ class _Round:
     ended: DataFrame
 
 
-def _burst(paths: DataFrame, limit: Burst) -> tuple[list[DataFrame], list[_Round]]:
-    """(containers that stay, rounds of bursts).  A round reads and writes only the
+def _burst(rows: DataFrame, limit: Burst) -> tuple[list[DataFrame], list[_Round]]:
+    """(containers that stay, rounds of bursts) of (head, depth, suffix, n, conv,
+    ends), all under the root.  A round reads and writes only the
     children of containers that burst in the round before."""
-    rows = paths.select(F.lit(ROOT).alias("head"), F.lit(0).alias("depth"), F.col("seq").alias("suffix"), "n", "conv", "ends")
     stay, rounds = [], []
     while True:
         burst = written(_oversized(rows, limit), "burst")
@@ -198,7 +198,7 @@ def _burst(paths: DataFrame, limit: Burst) -> tuple[list[DataFrame], list[_Round
         links = moved.groupBy("head", "parent", "depth", "words").count()
         links = written(links.select("head", "parent", "depth", F.conv(F.hex("words"), 16, 10).cast("bigint").alias("words")), "links")
         rounds.append(_Round(burst, links, ended))
-        rows = moved.drop("parent", "words")
+        rows = moved.select(*rows.columns)
 
 
 _NODE = "conv bigint, depth int, parent_conv bigint, n bigint, children bigint, leaves bigint, saved bigint, ends string"
@@ -280,7 +280,9 @@ def prefix_trie(rows: DataFrame, limit: Burst | None = None) -> DataFrame:
     saved_tokens (over the subtree, words of a node's turn times its members but
     one) and ends_sha256 (of the members that end here)."""
     limit = limit or Burst()
-    stay, rounds = _burst(written(distinct_sequences(rows), "paths"), limit)
+    paths = distinct_sequences(rows).withColumnRenamed("seq", "suffix")
+    # stored with its head: a literal head would turn the joins of the first round into loops
+    stay, rounds = _burst(written(paths.withColumns({"head": F.lit(ROOT), "depth": F.lit(0)}), "paths"), limit)
     containers = stay[0]
     for more in stay[1:]:
         containers = containers.unionByName(more)
