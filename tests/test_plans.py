@@ -1,6 +1,5 @@
 """Whole jobs on small hand-made inputs, and the shape of their plans."""
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,38 +194,5 @@ def test_all_families_forecast_the_same_weeks(spark):
     assert got.groupby(["genre", "date"]).actual.nunique().max() == 1
 
 
-def test_pooled_trees_beat_the_last_value(spark):
-    from weekloom.operators.trees import FOREST_RANGES, draw_parameters, tuned_ensemble
-
-    weeks = spark.range(60).select(F.date_add(F.lit("2020-01-05").cast("date"), (F.col("id") * 7).cast("int")).alias("date"), "id")
-    level = (F.col("s") + 1) * 1000
-    value = level + F.when(F.col("id") % 2 == 0, level * 0.4).otherwise(0) + F.rand(5) * 10
-    rows = weeks.withColumn("s", F.explode(F.array(*[F.lit(i) for i in range(6)]))).select(
-        F.lit("x").alias("artist"), F.col("s").cast("string").alias("song"), "date", value.alias("spotify_streams")
-    )
-    short = rows.filter("song = '0' AND date < '2020-02-20'").withColumn("song", F.lit("short"))
-    for family, ranges in (("rf", {"numTrees": (5, 8), "maxDepth": (4, 6)}), ("lgbm", {"maxIter": (8, 10), "maxDepth": (3, 5)})):
-        got = tuned_ensemble(rows.union(short), family, draws=2, ranges=ranges).toPandas()
-        assert len(got) == 6 * 8 and set(got.song) == set("012345")
-        error = (got.actual - got.predicted).abs().mean()
-        assert error < 0.5 * 0.4 * pd.Series([1, 2, 3, 4, 5, 6]).mean() * 1000
-    drawn = draw_parameters(FOREST_RANGES, 10)
-    assert len(drawn) == 10 and all(50 <= p["numTrees"] < 150 and 5 <= p["maxDepth"] < 20 for p in drawn)
-
-
-def test_registered_trees_run_the_whole_search(spark, monkeypatch):
-    import weekloom.queries.forecasts as forecasts
-    from weekloom.operators.trees import BOOSTING_RANGES
-
-    calls = {}
-    columns = [F.lit(None).cast(k).alias(c) for c, k in dict(artist="string", song="string", date="date", actual="double", predicted="double", best_params="string").items()]
-    monkeypatch.setattr(forecasts, "weekly_tracks", lambda spark, d: None)
-    monkeypatch.setattr(forecasts, "tuned_ensemble", lambda df, family, **how: calls.update({family: how}) or spark.range(0).select(*columns))
-    for name in ("tuned_forest", "tuned_boosting"):
-        entry.queries()[name](None, "")
-    assert calls == {"rf": {"target": "streams"}, "lgbm": {"target": "streams"}}
-    assert [2**d for d in range(*BOOSTING_RANGES["maxDepth"])] == [32, 64] and "subsamplingRate" in BOOSTING_RANGES
-
-
 def test_registered_names():
     assert len(entry.queries()) >= 130

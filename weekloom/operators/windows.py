@@ -120,13 +120,15 @@ def centered_ma(metric: str, keys: Sequence[str], date: str = "date", period: in
     return F.when(F.count(metric).over(frame) == 2 * half + 1, total / period)
 
 
-def expanding_folds(df: DataFrame, keys: Sequence[str], date: str = "date", splits: int = 3) -> DataFrame:
-    """Fold of each row: 0 is only ever trained on; fold ``i`` is scored by a
+def fold_of(rn: Column, n: Column, splits: int = 3) -> Column:
+    """Fold of row ``rn`` of ``n``: 0 is only ever trained on; fold ``i`` is scored by a
     model trained on the folds below ``i``.  Test folds have ``n // (splits+1)``
     rows, the first part takes the rest."""
-    size = F.floor(F.col("n") / (splits + 1))
-    first_test = F.col("n") - splits * size
-    fold = F.when(F.col("rn") <= first_test, F.lit(0)).otherwise(
-        F.floor((F.col("rn") - first_test - 1) / size) + 1
-    )
-    return with_position(df, keys, date).withColumn("fold", fold.cast("int"))
+    size = F.floor(n / (splits + 1))
+    first_test = n - splits * size
+    return F.when(rn <= first_test, F.lit(0)).otherwise(F.floor((rn - first_test - 1) / size) + 1).cast("int")
+
+
+def expanding_folds(df: DataFrame, keys: Sequence[str], date: str = "date", splits: int = 3) -> DataFrame:
+    """``fold`` of each row of its series (see :func:`fold_of`)."""
+    return with_position(df, keys, date).withColumn("fold", fold_of(F.col("rn"), F.col("n"), splits))
