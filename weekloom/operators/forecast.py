@@ -113,74 +113,127 @@ SEASON = 52
 MAX_ORDER = (2, 1, 1, 1)
 
 
-def _lagged(x: np.ndarray, lag: int) -> np.ndarray:
-    out = np.full(len(x), np.nan)
-    out[lag:] = x[:-lag]
-    return out
+# Terms of the regression in the order of its matrix; the last is the value itself.
+_TERMS = ("p1", "p2", "P1", "q1", "Q1", "c")
+#: A pivot below this share of its diagonal is no pivot: the terms are collinear.
+_PIVOT = 1e-9
 
 
-def _best_order(history: np.ndarray, d: int, season: int) -> tuple[float, float, str]:
-    """Score, next value and order of the least-squares seasonal ARMA with the
-    lowest BIC, on the history (``d`` 0) or its changes (``d`` 1).  Shocks for
-    the moving-average terms are the residuals of a longer autoregression."""
-    x = np.append(np.diff(history) if d else history, np.nan)  # last slot: the week to predict
-    lags = np.column_stack([_lagged(x, k) for k in range(1, 5)] + [np.ones(len(x))])
-    known = ~np.isnan(lags).any(axis=1) & ~np.isnan(x)
-    shocks = np.zeros(len(x))
-    shocks[known] = x[known] - lags[known] @ np.linalg.lstsq(lags[known], x[known], rcond=None)[0]
-    terms = {
-        "p1": _lagged(x, 1), "p2": _lagged(x, 2), "P1": _lagged(x, season),
-        "q1": _lagged(shocks, 1), "Q1": _lagged(shocks, season), "c": np.ones(len(x)),
-    }
-    common = ~np.isnan(np.column_stack(list(terms.values()))).any(axis=1) & ~np.isnan(x)
-    if not d:
-        common[np.flatnonzero(common)[:1]] = False  # the same weeks as for the changes
-    n, best = int(common.sum()), (np.inf, float(history[-1]), "")
+def arma_orders() -> list[tuple[tuple[int, ...], str]]:
+    """(terms, order text) of every combination; the text lacks the difference."""
+    out = []
     for p, q, sp, sq, const in product(*[range(m + 1) for m in (*MAX_ORDER, 1)]):
         names = ["p1", "p2"][:p] + ["q1"] * q + ["P1"] * sp + ["Q1"] * sq + ["c"] * const
-        design = np.column_stack([terms[t] for t in names]) if names else np.zeros((len(x), 1))
-        beta = np.linalg.lstsq(design[common], x[common], rcond=None)[0]
-        rss = float(np.sum((x[common] - design[common] @ beta) ** 2))
-        bic = n * np.log(max(rss, 1e-12) / n) + np.log(n) * len(names)
-        if bic < best[0]:
-            step = float(design[-1] @ beta)
-            best = (bic, float(history[-1]) + step if d else step, f"({p},{d},{q}),({sp},0,{sq},{season})")
-    return best
+        out.append((tuple(_TERMS.index(t) for t in names), f"({p},%d,{q}),({sp},0,{sq},%d)"))
+    return out
+
+
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
 
+def _matrix(rows: list[list[Column]]) -> Column:
+    return F.array(*[F.array(*row) for row in rows])
 
-def _one_step(history: np.ndarray, season: int) -> tuple[float, str]:
-    """Next value and order of the better of the two differencing choices."""
-    return min(_best_order(history, d, season) for d in (0, 1))[1:]
+
+def solved(augmented: Column) -> Column:
+    """Solution of the linear system whose rows are (coefficients, right side), by
+    elimination; null where a row depends on the rows before it."""
+
+    def step(state: Column, k: Column) -> Column:
+        rows, diagonal = state["rows"], state["diagonal"]
+        pivot_row = F.get(rows, k)
+        pivot = F.get(pivot_row, k)
+        usable = F.when(F.abs(pivot) > _PIVOT * F.abs(F.get(diagonal, k)), pivot)
+        scaled = F.transform(pivot_row, lambda x: x / usable)
+        cleared = F.transform(rows, lambda row, i: F.when(i == k, scaled).otherwise(F.zip_with(row, scaled, lambda x, s: x - F.get(row, k) * s)))
+        return F.struct(cleared.alias("rows"), diagonal.alias("diagonal"))
+
+    diagonal = F.transform(augmented, lambda row, i: F.get(row, i))
+    start = F.struct(augmented.alias("rows"), diagonal.alias("diagonal"))
+    places = F.when(F.size(augmented) > 0, F.sequence(F.lit(0), F.size(augmented) - 1)).otherwise(F.array().cast("array<int>"))
+    done = F.aggregate(places, start, step, lambda s: s["rows"])
+    return F.transform(done, lambda row: F.element_at(row, -1))
 
 
 def seasonal_ar(
     df: DataFrame, keys: Sequence[str] = ("genre",), date: str = "date", value: str = "total",
     test_weeks: int = TEST_WEEKS, season: int = SEASON,
 ) -> DataFrame:
-    """Walk-forward one-step forecasts by a seasonal autoregression whose orders
-    are searched anew at every step; the last value where a fit fails."""
+    """Walk-forward one-step forecasts by a seasonal ARMA whose orders are searched
+    anew at every step: of the least-squares fits to the history or to its changes
+    the one with the lowest BIC; the last value where no fit succeeds.
+
+    Shocks for the moving-average terms are the residuals of an autoregression of
+    four lags.  Running sums of the products of lagged values, over all earlier weeks,
+    hold everything a step needs: the autoregression is solved from them, its
+    coefficients turn the sums into the matrix of all terms, and every order is a
+    part of that matrix.  So each test week is one row, no history is read again, and
+    nothing leaves the JVM."""
     keys = list(keys)
     ready = min_history_gate(holdout_last_n(df, keys, date, test_weeks), "sarima", test_weeks)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(date)
-        y = pdf[value].to_numpy(dtype=float)
-        first = len(y) - test_weeks
-        rows = []
-        for t in range(first, len(y)):
-            try:
-                rows.append(_one_step(y[:t], season))
-            except np.linalg.LinAlgError:
-                rows.append((float(y[t - 1]), "N/A"))
-        out = pdf.iloc[first:][[*keys, date]].copy()
-        out["sarima_order"] = [order for _, order in rows]
-        out["actual"] = y[first:]
-        out["predicted"] = [yhat for yhat, _ in rows]
-        return out
-
-    types = dict(ready.dtypes)
-    schema = ", ".join(f"{c} {types[c]}" for c in [*keys, date]) + ", sarima_order string, actual double, predicted double"
-    return spread(ready.select(*keys, date, value), *keys).groupBy(*keys).applyInPandas(fit, schema)
+    w = series_window(keys, date)
+    lagged = ready.withColumn("_y", F.col(value).cast("double")).withColumn("_before", F.lag("_y", 1).over(w))
+    both = lagged.withColumn("d", F.explode(F.array(F.lit(0), F.lit(1))))
+    both = both.withColumn("x", F.when(F.col("d") == 0, F.col("_y")).otherwise(F.col("_y") - F.col("_before")))
+    w = Window.partitionBy(*keys, "d").orderBy(date)
+    far = [season + k for k in range(5)]
+    lags = both.withColumns({f"x{k}": F.lag("x", k).over(w) for k in [1, 2, 3, 4, 5, *far]})
+    # the shock a season ago is known once its own four lags are; before that it is 0
+    known = F.when(F.col("rn") - season - 4 > F.col("d"), F.lit(1.0)).otherwise(0.0)
+    lags = lags.withColumn("_known", known)
+    near = [F.coalesce(F.col(f"x{k}"), F.lit(0.0)) for k in (1, 2, 3, 4, 5)]
+    # 0: the value, 1-5: last values, 6: a season ago, 7-11: the same and before where the shock is known, 12, 13: ones
+    parts = [F.col("x"), *near, F.coalesce(F.col(f"x{season}"), F.lit(0.0))]
+    parts += [F.col("_known") * F.coalesce(F.col(f"x{k}"), F.lit(0.0)) for k in far] + [F.col("_known"), F.lit(1.0)]
+    lags = lags.withColumn("v", F.array(*parts))
+    history = w.rowsBetween(Window.unboundedPreceding, -1)
+    in_ar = F.col("rn") - 4 > F.col("d")
+    in_arma = F.col("rn") > season + 1
+    ar = [1, 2, 3, 4, 13, 0]
+    pairs = [(i, j) for i in range(14) for j in range(i, 14)]
+
+    def running(name: str, use: Column, i: int, j: int) -> Column:
+        return F.sum(F.when(use, F.col("v")[i] * F.col("v")[j])).over(history).alias(f"{name}_{i}_{j}")
+
+    sums = [running("a", in_ar, *sorted((i, j))) for k, i in enumerate(ar) for j in ar[k:]] + [running("w", in_arma, i, j) for i, j in pairs]
+    steps = lags.select(*keys, date, "d", "rn", "is_test", "_y", "_before", "v", F.count_if(in_arma).over(history).alias("m"), *sums).filter("is_test")
+
+    def cell(name: str, i: int, j: int) -> Column:
+        return F.col(f"{name}_{min(i, j)}_{max(i, j)}")
+
+    system = _matrix([[cell("a", i, j) for j in ar] for i in ar[:-1]])
+    steps = steps.withColumns({"b": solved(system), "sums": _matrix([[cell("w", i, j) for j in range(14)] for i in range(14)])})
+    zero, one, b = F.lit(0.0), F.lit(1.0), [F.get("b", F.lit(k)) for k in range(5)]
+
+    def row(**at: Column) -> list[Column]:
+        return [at.get(f"i{k}", zero) for k in range(14)]
+
+    shock = row(i1=one, i2=-b[0], i3=-b[1], i4=-b[2], i5=-b[3], i13=-b[4])
+    old_shock = row(i7=one, i8=-b[0], i9=-b[1], i10=-b[2], i11=-b[3], i12=-b[4])
+    terms = _matrix([row(i1=one), row(i2=one), row(i6=one), shock, old_shock, row(i13=one), row(i0=one)])
+    steps = steps.withColumn("terms", terms)
+    half = F.transform("terms", lambda t: F.transform("sums", lambda s: _dot(s, t)))
+    steps = steps.withColumn("half", half).withColumn("full", F.transform("terms", lambda t: F.transform("half", lambda h: _dot(t, h))))
+    steps = steps.select(*keys, date, "d", "_y", "_before", "m", "full", F.transform("terms", lambda t: _dot(t, F.col("v"))).alias("now"))
+
+    orders = arma_orders()
+    listed = F.array(*[F.struct(F.lit(k).alias("k"), F.array(*map(F.lit, t)).cast("array<int>").alias("terms"), F.lit(text).alias("text")) for k, (t, text) in enumerate(orders)])
+    fits = steps.select("*", F.inline(listed))
+    last = len(_TERMS)
+    system = F.transform("terms", lambda i: F.concat(F.transform("terms", lambda j: F.get(F.get("full", i), j)), F.array(F.get(F.get("full", i), F.lit(last)))))
+    fits = fits.withColumn("beta", solved(system))
+    square = F.get(F.get("full", F.lit(last)), F.lit(last))
+    explained = _dot(F.col("beta"), F.transform("terms", lambda i: F.get(F.get("full", i), F.lit(last))))
+    rss = F.greatest(square - explained, square * 1e-12 + 1e-300)
+    step = _dot(F.col("beta"), F.transform("terms", lambda i: F.get("now", i)))
+    size = F.col("m").cast("double")
+    fits = fits.withColumns({"bic": size * F.log(rss / size) + F.log(size) * F.size("terms"), "step": step})
+    best = F.min(F.when(F.col("bic").isNotNull(), F.struct("bic", "d", "k", "step", "text")))
+    chosen = fits.groupBy(*keys, date).agg(best.alias("best"), F.first("_y").alias("actual"), F.first("_before").alias("_last"))
+    predicted = F.when(F.col("best.d") == 1, F.col("_last") + F.col("best.step")).otherwise(F.col("best.step"))
+    order = F.when(F.col("best").isNull(), F.lit("N/A")).otherwise(F.printf(F.col("best.text"), F.col("best.d"), F.lit(season)))
+    return chosen.select(*keys, date, order.alias("sarima_order"), "actual", F.coalesce(predicted, F.col("_last")).alias("predicted"))
 
 
 # The tuning grid of the trend-and-season model.

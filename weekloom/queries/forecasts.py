@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from weekloom.operators.decompose import acf, decompose_additive, pacf
 from weekloom.operators.forecast import (
+    arma_orders,
     autoregressive_forecast,
     drift,
     grid_tuned_trend_season,
@@ -111,7 +112,58 @@ def _autoregressive_forecast(spark, d):
     return autoregressive_forecast(genre_grid(spark, d))
 
 
-@query("seasonal_ar_forecast", "genre:s date:d sarima_order:s actual:f2 predicted:f2")
+def _eliminated(name: str, source: str, size: int) -> str:
+    """Common table expressions name_1 to name_<size>: column ``a`` of ``source``, rows of
+    (coefficients, right side), after elimination of each unknown."""
+    steps = []
+    for k in range(1, size + 1):
+        steps.append(
+            f"""{name}_{k} AS (SELECT * REPLACE (CASE WHEN len(a) < {k} THEN a ELSE list_transform(a, lambda r, i: CASE WHEN i = {k}
+            THEN list_transform(a[{k}], lambda z: z / a[{k}][{k}])
+            ELSE list_transform(r, lambda z, j: z - r[{k}] * a[{k}][j] / a[{k}][{k}]) END) END AS a) FROM {name if k > 1 else source}{f"_{k - 1}" if k > 1 else ""})"""
+        )
+    return ",\n".join(steps)
+
+
+def _products(columns: list[str], value: str) -> str:
+    return "[" + ", ".join("[" + ", ".join(f"sum({a} * {b})" for b in [*columns, value]) + "]" for a in columns) + "]"
+
+
+_ARMA_TERMS = ["p1", "p2", "ps", "q1", "qs", "one"]
+_ARMA_SQL = f"""{GRID_SQL},
+changes AS (SELECT genre, date, rn, n, total, lag(total) OVER (PARTITION BY genre ORDER BY date) AS before FROM split WHERE n >= 112),
+levels AS (SELECT *, CASE WHEN d = 0 THEN total ELSE total - before END AS x FROM changes, (SELECT unnest([0, 1]) AS d)),
+lagged AS (SELECT *, lag(x, 1) OVER s AS x1, lag(x, 2) OVER s AS x2, lag(x, 3) OVER s AS x3, lag(x, 4) OVER s AS x4, lag(x, 52) OVER s AS x52,
+    1.0 AS one FROM levels WINDOW s AS (PARTITION BY genre, d ORDER BY date)),
+steps AS (SELECT genre, d, rn AS t FROM lagged WHERE rn > n - 8),
+history AS (SELECT l.*, s.t FROM steps s JOIN lagged l ON l.genre = s.genre AND l.d = s.d AND l.rn <= s.t),
+long_ar AS (SELECT genre, d, t, {_products(["x1", "x2", "x3", "x4", "one"], "x")} AS a FROM history WHERE rn < t AND rn - 4 > d GROUP BY ALL),
+{_eliminated("ar", "long_ar", 5)},
+shocks AS (SELECT h.*, CASE WHEN rn = h.t OR rn - 4 <= h.d THEN 0.0
+    ELSE x - x1 * a[1][6] - x2 * a[2][6] - x3 * a[3][6] - x4 * a[4][6] - a[5][6] END AS e
+    FROM history h JOIN ar_5 b ON h.genre = b.genre AND h.d = b.d AND h.t = b.t),
+termed AS (SELECT *, x1 AS p1, x2 AS p2, x52 AS ps, lag(e, 1) OVER s AS q1, lag(e, 52) OVER s AS qs
+    FROM shocks WINDOW s AS (PARTITION BY genre, d, t ORDER BY rn)),
+moments AS (SELECT genre, d, t, count(*) AS m, {_products(_ARMA_TERMS, "x")} AS f, sum(x * x) AS yy
+    FROM termed WHERE rn > 53 AND rn < t GROUP BY ALL),
+orders AS (SELECT unnest(range(1, 49)) AS k, unnest([{", ".join(str([i + 1 for i in terms]) + "::INT[]" for terms, _ in arma_orders())}]) AS idx,
+    unnest([{", ".join("'" + text.replace("%d)", "52)") + "'" for _, text in arma_orders())}]) AS text),
+systems AS (SELECT *, list_transform(idx, lambda i: list_append(list_transform(idx, lambda j: f[i][j]), f[i][7])) AS a FROM moments, orders),
+{_eliminated("fit", "systems", 6)},
+scored_fits AS (SELECT *, m * ln(greatest(yy - coalesce(list_sum(list_transform(idx, lambda i, q: a[q][len(idx) + 1] * f[i][7])), 0), yy * 1e-12) / m)
+    + ln(m) * len(idx) AS bic FROM fit_6),
+best_fits AS (SELECT * FROM scored_fits QUALIFY row_number() OVER (PARTITION BY genre, t ORDER BY bic, d, k) = 1),
+arma AS (SELECT b.genre, h.date, h.total AS actual, replace(b.text, '%d', b.d::VARCHAR) AS sarima_order,
+    CASE WHEN b.d = 1 THEN h.before ELSE 0 END + coalesce(list_sum(list_transform(idx, lambda i, q:
+        a[q][len(idx) + 1] * [h.p1, h.p2, h.ps, h.q1, h.qs, 1.0][i])), 0) AS predicted
+    FROM best_fits b JOIN termed h ON h.genre = b.genre AND h.d = b.d AND h.t = b.t AND h.rn = b.t)"""
+
+
+@query(
+    "seasonal_ar_forecast",
+    "genre:s date:d sarima_order:s actual:f2 predicted:f2",
+    f"WITH {_ARMA_SQL} SELECT genre, date, sarima_order, actual, predicted FROM arma",
+)
 def _seasonal_ar_forecast(spark, d):
     return seasonal_ar(genre_grid(spark, d))
 
