@@ -90,6 +90,39 @@ def test_master_features_without_genres(tables):
     assert got.count() == 4 and not [c for c in got.columns if c.startswith("deezer_genre_")]
 
 
+def test_tag_ranks_count_the_copies_of_every_side(spark):
+    base = spark.createDataFrame([("A", "one", "m1"), ("A", "one", "m1"), ("B", "two", "m2"), ("C", "x", None)], "artist string, song string, mbid string")
+    tags = spark.createDataFrame([("A", "one", "alpha"), ("B", "two", "zeta"), ("C", "x", "null id")], "artist string, song string, tags string")
+    albums = spark.createDataFrame([("b", "TWO", "g", k) for k in range(3)] + [(None, "two", "g", 9)], "artist string, song string, genres string, ingest_seq int")
+    acoustic = spark.createDataFrame([("m1", 1.0)] * 2 + [(None, 0.5)] * 9, "mb_recording_id string, ab_x_prob double")
+
+    def first_tag(*sides):
+        return [c for c in master_features(base, *sides, tags, top_tags=1).columns if c.startswith("lfm_tag_")]
+
+    assert first_tag(None, None) == ["lfm_tag_alpha"]
+    assert first_tag(None, albums) == ["lfm_tag_zeta"]
+    assert first_tag(acoustic, albums) == ["lfm_tag_alpha"]  # 4 against 3
+
+
+def test_track_models_to_genres(spark):
+    from weekloom.plans.track_forecast import longest_tracks, track_model_metrics, track_models_to_genres
+
+    forecasts = spark.createDataFrame(
+        [("a", "s", "2020-01-05", 10.0, 8.0), ("a", "t", "2020-01-05", 5.0, None), ("a", "u", "2020-01-05", 1.0, 1.0)],
+        "artist string, song string, date string, actual double, predicted double",
+    )
+    labels = spark.createDataFrame([("a", "s", ["pop", "rock", "pop"]), ("a", "t", ["pop"]), ("a", "u", None)], "artist string, song string, genres array<string>")
+    got = {(r.genre, r.actual, r.predicted) for r in track_models_to_genres(forecasts, labels).collect()}
+    assert got == {("pop", 15.0, 8.0), ("rock", 10.0, 8.0)}
+    weeks = spark.range(40).select(F.explode(F.array(*[F.lit(x) for x in "stu"])).alias("song"), F.lit("a").alias("artist"), F.date_add(F.lit("2020-01-05").cast("date"), (F.col("id") * 7).cast("int")).alias("date"), (F.lit(100.0) + F.col("id") % 2).alias("spotify_streams"))
+    rows = weeks.filter("song <> 'u' OR date < '2020-05-01'")
+    assert {r.song for r in longest_tracks(rows, 2).select("song").distinct().collect()} == {"s", "t"}
+    small = {"ranges": {"trees": (5, 8), "depth": (2, 4), "split": (2, 3), "leaf": (1, 3)}, "draws": 2}
+    scores = track_model_metrics(rows, labels, ["rf"], 2, **small).collect()
+    assert {(r.genre, r.model) for r in scores} == {("pop", "RandomForest"), ("rock", "RandomForest")}
+    assert all(r.mae < 1 and r.mape < 1 for r in scores)
+
+
 def test_model_dataset(spark, raw, tables):
     weekly = clean_chart(raw)
     features = master_features(*tables, top_tags=1)

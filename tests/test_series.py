@@ -17,7 +17,7 @@ from weekloom.operators.forecast import (
     seasonal_ar,
 )
 from weekloom.operators.scoring import dtw
-from weekloom.operators.series import asfreq_fill0, resample_month, resample_weekly_fill0
+from weekloom.operators.series import asfreq_fill0, resample_inferred_fill0, resample_month, resample_weekly_fill0
 from weekloom.operators.windows import add_time_series_features, expanding_folds
 
 SUNDAY = date(2020, 1, 5)
@@ -56,6 +56,33 @@ def test_off_grid_days_join_their_week(spark):
     assert months == [(date(2020, 1, 31), 7.0), (date(2020, 2, 29), 0.0), (date(2020, 3, 31), 0.0), (date(2020, 4, 30), 8.0)]
 
 
+def test_series_keep_their_own_step(spark):
+    def dates(name, days, start=SUNDAY):
+        return [(name, start + timedelta(days=d), float(d + 1)) for d in days]
+
+    rows = dates("thursday", range(4, 74, 7)) + dates("fortnight", range(1, 99, 14)) + dates("daily", range(9)) + dates("gappy thursday", [4, 11, 25])
+    rows += dates("two", [4, 11]) + dates("twice", [4, 11, 11, 18]) + [("months", date(2020, m, 1), 1.0) for m in (1, 2, 3, 4)] + [("ends", date(2020, m, 1) - timedelta(days=1), 1.0) for m in (2, 5, 8)]
+    rows += [("nulls", SUNDAY, None), ("nulls", SUNDAY + timedelta(days=2), 5.0), ("nulls", None, 7.0)]
+    frame = pd.DataFrame(rows, columns=["genre", "date", "total"])
+    got = resample_inferred_fill0(spark.createDataFrame(rows, "genre string, date date, total double"), ["genre"]).toPandas()
+    for name, part in frame.dropna(subset=["date"]).groupby("genre"):
+        index = pd.DatetimeIndex(part.date)
+        rule = (pd.infer_freq(index) if len(index) > 2 else None) or "W"
+        want = pd.Series(part.total.to_numpy(), index).resample(rule).sum().fillna(0)
+        mine = got[got.genre == name].sort_values("date").set_index("date").total
+        assert list(pd.to_datetime(mine.index)) == list(want.index), (name, rule)
+        assert mine.tolist() == want.tolist(), name
+
+
+def test_seasonal_ar_of_odd_series(spark):
+    rows = [(name, SUNDAY + timedelta(weeks=k), v) for k in range(120) for name, v in (("flat", 5.0), ("zero", 0.0), ("line", 3.0 * k), ("wave", 100 + 10.0 * (k % 52 > 20) + k % 3))]
+    got = seasonal_ar(spark.createDataFrame(rows, "genre string, date date, total double")).toPandas()
+    assert got.groupby("genre").size().to_dict() == {"flat": 8, "zero": 8, "line": 8, "wave": 8}
+    error = (got.actual - got.predicted).abs().groupby(got.genre).max()
+    assert error["flat"] < 1e-6 and error["zero"] < 1e-6 and error["line"] < 1e-3 and error["wave"] < 3
+    assert seasonal_ar(spark.createDataFrame(rows[:400], "genre string, date date, total double")).count() == 0
+
+
 def test_short_series_gates(series):
     grid = resample_weekly_fill0(series, ["genre"])
     assert {r.genre for r in naive_last(grid).collect()} == {"long", "gappy", "nine"}

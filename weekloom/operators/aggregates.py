@@ -71,11 +71,28 @@ def tag_frequency(df: DataFrame, tags: str) -> DataFrame:
     return df.select(F.explode(tags).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
 
-def joined_tag_frequency(left: DataFrame, right: DataFrame, keys: list[str], tags: str) -> DataFrame:
+def joined_copies(left: DataFrame, sides: list[tuple[DataFrame, list[str]]], name: str = "n_copies") -> DataFrame:
+    """``left`` with the number of rows that each of its rows becomes when every side is
+    left-joined on its columns (named alike on both): rows per key multiplied, a key
+    that the side lacks counting once.  No joined row is formed, and the copies of a
+    side meet as counts."""
+    made, parts = left, []
+    for i, (side, on) in enumerate(sides):
+        part = f"_copies_{i}"
+        counts = side.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias(part))
+        made, parts = made.join(counts, on, "left"), [*parts, part]
+    product = F.lit(1).cast("bigint")
+    for part in parts:
+        product = product * F.coalesce(part, F.lit(1))
+    return made.withColumn(name, product).drop(*parts)
+
+
+def joined_tag_frequency(left: DataFrame, right: DataFrame, keys: list[str], tags: str, copies: str | None = None) -> DataFrame:
     """Tag counts over ``left`` left-joined with ``right``, every copy on either
     side counted, without forming the joined rows: row counts per key times tag
-    counts per key."""
-    left_n = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_left"))
+    counts per key.  ``copies`` names a column with the rows that a left row stands
+    for (see :func:`joined_copies`)."""
+    left_n = left.groupBy(*keys).agg((F.sum(copies) if copies else F.count(F.lit(1))).alias("n_left"))
     right_n = right.select(*keys, F.explode(tags).alias("tag")).groupBy(*keys, "tag").agg(F.count(F.lit(1)).alias("n_tag"))
     return (
         right_n.join(left_n, keys)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.functions.dates import month_end, week_end
-from weekloom.operators.windows import series_window
+from weekloom.operators.windows import series_window, whole_series
 
 
 def fill_missing_weeks(weekly: DataFrame, keys: Sequence[str], date: str = "date", value: str = "total") -> DataFrame:
@@ -16,11 +16,14 @@ def fill_missing_weeks(weekly: DataFrame, keys: Sequence[str], date: str = "date
     Each row also emits the empty weeks up to its successor: one window pass,
     no calendar table and no join."""
     following = F.lead(date).over(series_window(keys, date))
+    return _filled(weekly.withColumn("_next", following), keys, date, value)
+
+
+def _filled(rows: DataFrame, keys: Sequence[str], date: str, value: str) -> DataFrame:
+    """Each row and the empty weeks before its ``_next``; null has none."""
     weeks = F.sequence(F.col(date), F.coalesce(F.date_sub("_next", 7), F.col(date)), F.expr("interval 7 days"))
-    return (
-        weekly.withColumn("_next", following)
-        .select(*keys, value, F.posexplode(weeks).alias("_i", date))
-        .select(*keys, date, F.when(F.col("_i") == 0, F.coalesce(value, F.lit(0.0))).otherwise(0.0).alias(value))
+    return rows.select(*keys, value, F.posexplode(weeks).alias("_i", date)).select(
+        *keys, date, F.when(F.col("_i") == 0, F.coalesce(value, F.lit(0.0))).otherwise(0.0).alias(value)
     )
 
 
@@ -31,6 +34,35 @@ def resample_weekly_fill0(df: DataFrame, keys: Sequence[str], date: str = "date"
     return fill_missing_weeks(weekly, keys, date, value)
 
 
+def resample_inferred_fill0(df: DataFrame, keys: Sequence[str], date: str = "date", value: str = "total") -> DataFrame:
+    """Sum per series and step, steps without rows as 0.  The step is that of the
+    series' own dates where they are at least three, unlike each other, and equally
+    far apart in days or, on first or last days of months, in months: such a series
+    stays on its dates, whatever its weekday.  Any other series is summed by
+    Sunday-ending weeks.  Rows are summed by day first, so the windows that look at a
+    series' gaps see no more rows than it has days."""
+    keys = list(keys)
+    days = df.groupBy(*keys, F.to_date(date).alias(date)).agg(F.sum(value).alias(value), F.count(F.lit(1)).alias("_rows"))
+    days = days.filter(F.col(date).isNotNull())
+    w, day = series_window(keys, date), F.col(date)
+    month = F.year(date) * 12 + F.month(date)
+    gaps = days.withColumns({"_gap": F.datediff(day, F.lag(date).over(w)), "_months": month - F.lag(month).over(w)})
+    whole = whole_series(keys, date)
+
+    def always(condition: Column) -> Column:
+        return F.min(condition.cast("int")).over(whole) == 1
+
+    in_days = F.min("_gap").over(whole) == F.max("_gap").over(whole)
+    in_months = (F.min("_months").over(whole) == F.max("_months").over(whole)) & (F.min("_months").over(whole) > 0)
+    in_months &= always(F.dayofmonth(date) == 1) | always(day == F.last_day(date))
+    regular = (F.count(F.lit(1)).over(whole) >= 3) & (F.max("_rows").over(whole) == 1) & (in_days | in_months)
+    stepped = gaps.withColumn("_regular", F.coalesce(regular, F.lit(False)))
+    place = F.when(F.col("_regular"), day).otherwise(week_end(day))
+    summed = stepped.groupBy(*keys, "_regular", place.alias(date)).agg(F.sum(value).alias(value))
+    following = F.when(~F.col("_regular"), F.lead(date).over(series_window(keys, date)))
+    return _filled(summed.withColumn("_next", following), keys, date, value)
+
+
 def asfreq_fill0(df: DataFrame, keys: Sequence[str] = (), date: str = "date", value: str = "total") -> DataFrame:
     """Weekly grid over unique Sunday dates; values off the grid are dropped,
     missing weeks are 0."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weekloom.functions.labels import split_labels
 from weekloom.functions.numbers import to_number, zero_to_null
-from weekloom.operators.aggregates import distinct_labels, joined_tag_frequency, most_frequent
+from weekloom.operators.aggregates import distinct_labels, joined_copies, joined_tag_frequency, most_frequent
 from weekloom.operators.columns import prefix_columns, select_present
 from weekloom.operators.joins import first_per_clean_key, join_by_clean_key_left, join_by_id_left, with_clean_keys
 from weekloom.operators.reshape import label_names, one_hot_multilabel
@@ -28,6 +28,20 @@ TAG_COLUMNS = {
 TAG_NUMBERS = ("lastfm_listeners", "lastfm_playcount", "lastfm_duration_ms")
 
 
+def _counted_base(base: DataFrame, acoustic: DataFrame | None, albums: DataFrame | None) -> DataFrame:
+    """``base`` with its clean keys and ``_n``, the rows each of its rows becomes when
+    the other sides are joined with all their copies."""
+    keyed, sides = with_clean_keys(base, NAMES), []
+    if acoustic is not None and "mbid" in base.columns:
+        id_col = "mb_recording_id" if "mb_recording_id" in acoustic.columns else "mbid"
+        keyed = keyed.withColumn("_id", F.col("mbid").cast("string"))
+        sides.append((acoustic.select(F.col(id_col).cast("string").alias("_id")), ["_id"]))
+    if albums is not None:
+        names = [f"_k_{n}" for n in NAMES]
+        sides.append((with_clean_keys(albums, NAMES).select(*names), names))
+    return joined_copies(keyed, sides, "_n")
+
+
 def master_features(
     base: DataFrame,
     acoustic: DataFrame | None = None,
@@ -40,9 +54,10 @@ def master_features(
     The table keeps one row per track in the end, the first match of the first
     row.  So each side is reduced to its first row per key before it is joined:
     copies never multiply.  "First" is the ingest order where a table carries it
-    (see ``with_ingest_order``).  Tag frequencies, which count the copies, come
-    from counts per key."""
+    (see ``with_ingest_order``).  Tag frequencies, which count the copies of every
+    side, come from counts per key."""
     keys = [*NAMES, "mbid"] if "mbid" in base.columns else NAMES
+    counted_base = _counted_base(base, acoustic, albums)
     df = keep_first(base, keys, row_order(base)).drop(INGEST_ORDER)
     if acoustic is not None and "mbid" in base.columns:
         id_col = "mb_recording_id" if "mb_recording_id" in acoustic.columns else "mbid"
@@ -64,7 +79,7 @@ def master_features(
         if "lastfm_tags_str" in df.columns:
             names = [f"_k_{n}" for n in NAMES]
             counted = with_clean_keys(slim.withColumn("_t", split_labels(F.col("lastfm_tags_str"), "|")), NAMES)
-            frequency = joined_tag_frequency(with_clean_keys(base, NAMES), counted, names, "_t")
+            frequency = joined_tag_frequency(counted_base, counted, names, "_t", "_n")
             wanted = [r["tag"] for r in most_frequent(frequency, top_tags).collect()]
             df = df.withColumn("_t", split_labels(F.col("lastfm_tags_str"), "|"))
             df = one_hot_multilabel(df, "_t", wanted, "lfm_tag_", tag=True).drop("_t", "lastfm_tags_str")

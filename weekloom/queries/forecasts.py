@@ -1,3 +1,4 @@
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weekloom.operators.decompose import acf, decompose_additive, pacf
@@ -12,8 +13,10 @@ from weekloom.operators.forecast import (
     tune_ma_window,
     walk_forward_one_step,
 )
-from weekloom.operators.series import asfreq_fill0, resample_month, resample_weekly_fill0
+from weekloom.functions.dates import week_end
+from weekloom.operators.series import asfreq_fill0, resample_inferred_fill0, resample_month, resample_weekly_fill0
 from weekloom.operators.trees import tuned_ensemble
+from weekloom.plans.track_forecast import track_forecasts, track_model_metrics, track_models_to_genres
 from weekloom.queries.registry import query
 from weekloom.queries.stand_ins import (
     AR_SQL,
@@ -25,6 +28,8 @@ from weekloom.queries.stand_ins import (
     WEEKLY_SQL,
     genre_grid,
     genre_weekly,
+    table,
+    week_sql,
     weekly_tracks,
 )
 
@@ -40,6 +45,33 @@ def _resample_weekly_fill0(spark, d):
     return resample_weekly_fill0(weekly_tracks(spark, d), ["artist", "song"], value="streams")
 
 
+_STEPPED_SQL = f"""stepped AS (SELECT p_brand AS brand, CASE right(p_brand, 1)
+        WHEN '5' THEN CAST(l_shipdate AS DATE) WHEN '4' THEN last_day(CAST(l_shipdate AS DATE))
+        ELSE {week_sql("l_shipdate")} - CAST(right(p_brand, 1) AS INT) END AS date,
+    sum(l_extendedprice) AS total FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL)"""
+
+
+@query(
+    "resample_inferred_fill0",
+    "brand:s date:d total:f2",
+    f"""WITH {_STEPPED_SQL}, gaps AS (SELECT *, date - lag(date) OVER s AS gap, datediff('month', lag(date) OVER s, date) AS months
+            FROM stepped WINDOW s AS (PARTITION BY brand ORDER BY date)),
+        kinds AS (SELECT brand, count(*) >= 3 AND (min(gap) = max(gap) OR (min(months) = max(months) AND bool_and(date = last_day(date)))) AS regular
+            FROM gaps GROUP BY brand),
+        placed AS (SELECT brand, regular, CASE WHEN regular THEN date ELSE {week_sql("date")} END AS date, sum(total) AS total
+            FROM stepped JOIN kinds USING (brand) GROUP BY ALL),
+        every AS (SELECT brand, CAST(unnest(generate_series(min(date), max(date), INTERVAL 7 DAY)) AS DATE) AS date
+            FROM placed WHERE NOT regular GROUP BY brand UNION SELECT brand, date FROM placed WHERE regular)
+        SELECT e.brand, e.date, coalesce(total, 0) AS total FROM every e LEFT JOIN placed p ON e.brand = p.brand AND e.date = p.date""",
+)
+def _resample_inferred_fill0(spark, d):
+    ship, digit = F.to_date("l_shipdate"), F.right("p_brand", F.lit(1))
+    place = F.when(digit == "5", ship).when(digit == "4", F.last_day(ship)).otherwise(F.date_sub(week_end(ship), digit.cast("int")))
+    joined = table(spark, d, "lineitem").join(table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey")
+    rows = joined.groupBy(F.col("p_brand").alias("brand"), place.alias("date")).agg(F.sum("l_extendedprice").alias("total"))
+    return resample_inferred_fill0(rows, ["brand"])
+
+
 @query(
     "asfreq_fill0",
     "artist:s song:s date:d streams:f2",
@@ -173,6 +205,46 @@ def _grid_tuned_trend_season(spark, d):
     return grid_tuned_trend_season(genre_weekly(spark, d))
 
 
+_LONGEST_SQL = f"""{WEEKLY_SQL},
+longest AS (SELECT artist, song, count(*) AS n FROM weekly GROUP BY ALL ORDER BY n DESC, artist, song LIMIT 200),
+tested AS (SELECT w.artist, w.song, w.date, w.streams, l.n - row_number() OVER (PARTITION BY w.artist, w.song ORDER BY w.date) < 8 AS is_test
+    FROM weekly w JOIN longest l ON w.artist = l.artist AND w.song = l.song)"""
+
+
+def _genres(spark, d):
+    named = table(spark, d, "part").select(F.col("p_brand").alias("artist"), F.col("p_name").alias("song"))
+    return named.distinct().withColumn("genres", F.split("song", " "))
+
+
+@query(
+    "track_forest_by_genre",
+    "genre:s date:d actual:f2 in_range:s",
+    f"""WITH {_LONGEST_SQL} SELECT genre, date, sum(streams) AS actual, 'true' AS in_range
+        FROM (SELECT DISTINCT unnest(string_split(song, ' ')) AS genre, * FROM tested WHERE is_test) GROUP BY genre, date""",
+)
+def _track_forest_by_genre(spark, d):
+    # a forest's forecast is a mean of training values: each track's lies between its least and its largest
+    rows = weekly_tracks(spark, d)
+    forecasts = track_forecasts(rows, "rf", target="streams").drop("best_params")
+    last = Window.partitionBy("artist", "song").orderBy(F.desc("date"))
+    train = rows.withColumn("_p", F.row_number().over(last)).filter("_p > 8").groupBy("artist", "song")
+    bounds = train.agg(F.min("streams").alias("low"), F.max("streams").alias("high"))
+    near = 1 + F.lit(1e-9)
+    inside = (F.col("predicted") * near >= F.col("low")) & (F.col("predicted") <= F.col("high") * near)
+    judged = forecasts.join(bounds, ["artist", "song"]).withColumn("outside", F.when(inside, 0.0).otherwise(1.0))
+    genres = _genres(spark, d)
+    outside = track_models_to_genres(judged.drop("predicted").withColumnRenamed("outside", "predicted"), genres)
+    return outside.withColumn("in_range", F.col("predicted") == 0)
+
+
+@query(
+    "track_model_metrics",
+    "genre:s model:s mae:f2 rmse:f2 mape:f4",
+)
+def _track_model_metrics(spark, d):
+    return track_model_metrics(weekly_tracks(spark, d).withColumnRenamed("streams", "spotify_streams"), _genres(spark, d))
+
+
 @query("tuned_forest", "artist:s song:s date:d actual:f2 predicted:f2 best_params:s")
 def _tuned_forest(spark, d):
     return tuned_ensemble(weekly_tracks(spark, d), "rf", target="streams")

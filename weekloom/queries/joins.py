@@ -48,13 +48,13 @@ def _shouted(spark, d):
     "join_by_clean_key_left",
     "p_partkey:i deezer_size:f0 deezer_price:f2",
     """SELECT a.p_partkey, b.p_size AS deezer_size, b.p_retailprice AS deezer_price FROM part a LEFT JOIN
-        (SELECT * FROM part WHERE p_size > 25 QUALIFY row_number() OVER
-            (PARTITION BY p_brand, p_name ORDER BY p_size, p_retailprice) = 1) b
-        ON a.p_brand = b.p_brand AND a.p_name = b.p_name""",
+        (SELECT *, CASE WHEN p_size > 25 THEN p_name END AS name FROM part QUALIFY row_number() OVER
+            (PARTITION BY p_brand, name ORDER BY p_size, p_retailprice) = 1) b
+        ON a.p_brand = b.p_brand AND a.p_name = b.name""",
 )
 def _join_by_clean_key_left(spark, d):
-    albums = table(spark, d, "part").filter("p_size > 25").select(
-        F.col("p_brand").alias("artist"), F.col("p_name").alias("song"), F.col("p_size").alias("size"),
+    albums = table(spark, d, "part").select(
+        F.col("p_brand").alias("artist"), F.when(F.col("p_size") > 25, F.col("p_name")).alias("song"), F.col("p_size").alias("size"),
         F.col("p_retailprice").alias("price"),
     )
     first = first_per_clean_key(albums, ["size", "price"], ["artist", "song"])
@@ -65,14 +65,13 @@ def _join_by_clean_key_left(spark, d):
     "join_tags_left",
     "p_partkey:i lastfm_listeners:f0 lastfm_tags_str:s",
     """SELECT a.p_partkey, b.n AS lastfm_listeners, b.tags AS lastfm_tags_str FROM part a LEFT JOIN
-        (SELECT p_brand, p_name, count(*) AS n, replace(p_name, ' ', '|') AS tags FROM part WHERE p_type <> 'PROMO'
-         GROUP BY ALL) b ON a.p_brand = b.p_brand AND a.p_name = b.p_name""",
+        (SELECT p_brand, CASE WHEN p_type <> 'PROMO' THEN p_name END AS name, count(*) AS n, replace(name, ' ', '|') AS tags FROM part
+         GROUP BY ALL) b ON a.p_brand = b.p_brand AND a.p_name = b.name""",
 )
 def _join_tags_left(spark, d):
     tags = (
         table(spark, d, "part")
-        .filter("p_type <> 'PROMO'")
-        .groupBy(F.col("p_brand").alias("artist"), F.col("p_name").alias("song"))
+        .groupBy(F.col("p_brand").alias("artist"), F.when(F.col("p_type") != "PROMO", F.col("p_name")).alias("song"))
         .agg(F.count(F.lit(1)).alias("listeners"))
         .withColumns({"tags": F.replace("song", F.lit(" "), F.lit("|")), "unused": F.lit(1)})
     )
@@ -84,14 +83,13 @@ def _join_tags_left(spark, d):
     "fact_dim_left",
     "artist:s song:s date:d streams:f2 price:f2",
     f"""WITH {WEEKLY_SQL} SELECT w.artist, w.song, w.date, w.streams, f.price FROM weekly w LEFT JOIN
-        (SELECT p_brand, p_name, max(p_retailprice) AS price FROM part WHERE p_size > 30 GROUP BY ALL) f
-        ON w.artist = f.p_brand AND w.song = f.p_name""",
+        (SELECT p_brand, CASE WHEN p_size > 30 THEN p_name END AS name, max(p_retailprice) AS price FROM part GROUP BY ALL) f
+        ON w.artist = f.p_brand AND w.song = f.name""",
 )
 def _fact_dim_left(spark, d):
     features = (
         table(spark, d, "part")
-        .filter("p_size > 30")
-        .groupBy(F.col("p_brand").alias("artist"), F.col("p_name").alias("song"))
+        .groupBy(F.col("p_brand").alias("artist"), F.when(F.col("p_size") > 30, F.col("p_name")).alias("song"))
         .agg(F.max("p_retailprice").alias("price"))
     )
     return fact_dim_left(weekly_tracks(spark, d), features)
