@@ -57,7 +57,7 @@ def test_suffix_order():
     for alphabet in ("ab", "abcdé\x00", "a"):
         texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 60))).encode() for _ in range(25)]
         data = b"\0".join(texts) + b"\0"
-        symbols = np.frombuffer(data, np.uint8).astype(np.int64) + 1
+        symbols = np.frombuffer(data, np.uint8).astype(np.int16) + 1
         ends = np.cumsum([len(t) + 1 for t in texts]) - 1
         symbols[ends] = 0
         place = [(i, k) for k, t in enumerate(texts) for i in range(len(t))]
@@ -90,10 +90,10 @@ def test_equal_windows_have_equal_anchors():
     assert gram_sizes(400) == [32, 128, 256, 336, 376, 392, 400] and gram_sizes(3)[-1] == 3
 
 
-@pytest.mark.parametrize("length,shard", [(40, module.SHARD_BYTES), (25, 400), (60, 1)])
-def test_against_brute_force(spark, length, shard):
+@pytest.mark.parametrize("length,hot", [(40, module.HOT_BYTES), (25, 400), (60, 1)])
+def test_against_brute_force(spark, length, hot):
     rows = random_rows()
-    assert got(without_repeats(table(spark, rows), length=length, shard_bytes=shard)) == plain_version(rows, length)
+    assert got(without_repeats(table(spark, rows), length=length, hot_bytes=hot)) == plain_version(rows, length)
 
 
 def test_long_texts_by_pieces(spark, monkeypatch):
@@ -116,7 +116,7 @@ def test_a_common_line_in_many_surroundings(spark):
     rows = [(k, some(60) + line + some(60)) for k in range(400)] + [(1000 + k, some(50) + "kk" + line + "kk" + some(50)) for k in range(60)]
     want = plain_version(rows, len(line) + 4)
     assert any(r[2] for r in want) and not all(r[2] for r in want)
-    assert got(without_repeats(table(spark, rows), length=len(line) + 4, shard_bytes=2000)) == want
+    assert got(without_repeats(table(spark, rows), length=len(line) + 4, hot_bytes=2000)) == want
 
 
 def test_empty_table(spark):

@@ -13,10 +13,13 @@ them by scanning the buckets of first bytes in order.  Common prefixes of
 neighbours in that order then tell which windows are equal, and a window whose
 equals occur twice or more is a repeat.
 
-An anchor with more distinct contexts than a shard holds (a common short line in
-very many surroundings) goes on to the next level: its contexts are dealt again by
-longer grams, up to the whole window, where all contexts of an anchor are equal.  So
-no shard outgrows ``SHARD_BYTES`` by more than one anchor of at most that size.
+Where all occurrences of an anchor have one context, there is nothing to sort: its
+windows stand as often as it does.
+
+An anchor with very many distinct contexts (a common short line in many
+surroundings) goes on to the next level: its contexts are dealt again by longer
+grams, up to the whole window, where all contexts of an anchor are equal.  So a
+shard holds at most ``SHARD_BYTES`` and one anchor of at most ``HOT_BYTES``.
 
 Results by case: a null or empty text has no bytes and loses none; a text
 shorter than ``length`` stays; repeated rows are occurrences like any other, so all
@@ -39,9 +42,12 @@ from pyspark.sql import functions as F
 from weekloom.llm import ragged
 from weekloom.llm.scratch import bucketed, partitions, written
 
-#: Bytes of contexts in one suffix array.
+#: Bytes of contexts in one suffix array; a shard ends with the anchor that fills it.
 SHARD_BYTES = 1 << 19
 
+#: Bytes of contexts of one anchor beyond which it goes on to the next level.
+HOT_BYTES = 1 << 21
+
 #: Windows of one text that are looked at together.
 PIECE = 1 << 22
 
@@ -72,19 +78,26 @@ def _sorted_directly(raw: bytes, symbols: np.ndarray, at: np.ndarray, stop: np.n
     first, alive = np.zeros(len(at), np.int64), np.ones(len(at), bool)
     padded = np.concatenate([symbols, np.zeros(7, symbols.dtype)])
     for k in range(7):
-        here = np.where(alive, padded[at + k], 0)
+        here = padded[k:][at] * alive
         alive = here > 0
         first = (first << 9) | here
     order = np.argsort(first, kind="stable")
     ranked = first[order]
     edge = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1], [True]]))
-    tied = np.flatnonzero(np.diff(edge) > 1)
-    begin, end = (at + 7).tolist(), np.minimum(stop, at + depth).tolist()
-    for a, b in zip(edge[tied].tolist(), edge[tied + 1].tolist(), strict=True):
-        mine = order[a:b].tolist()
-        mine.sort(key=lambda i: raw[begin[i] : end[i]])
-        order[a:b] = mine
-    return at[order]
+    out = at[order]
+    size = np.diff(edge)
+    tied = np.flatnonzero(np.repeat(size > 1, size))
+    begin, end = (out[tied] + 7).tolist(), np.minimum(stop[order[tied]], out[tied] + depth).tolist()
+    rest = [raw[a:b] for a, b in zip(begin, end, strict=True)]
+    moved, a = np.arange(len(tied)), 0
+    for n in size[size > 1].tolist():
+        if n > 2:
+            moved[a : a + n] = sorted(range(a, a + n), key=rest.__getitem__)
+        elif rest[a] > rest[a + 1]:
+            moved[a], moved[a + 1] = a + 1, a
+        a += n
+    out[tied] = out[tied[moved]]
+    return out
 
 
 def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
@@ -143,7 +156,7 @@ def repeated_windows(texts: list[bytes], weights: list[int], length: int) -> lis
     size = np.array([len(t) for t in texts])
     start = np.concatenate([[0], np.cumsum(size + 1)])
     data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
-    symbols = data.astype(np.int64) + 1
+    symbols = data.astype(np.int16) + 1
     symbols[start[1:] - 1] = 0
     owner = np.repeat(np.arange(len(texts)), size + 1)
     window = np.arange(len(data)) + length <= start[owner + 1] - 1
@@ -284,11 +297,14 @@ def _level(base: DataFrame, length: int, grams: list[int], limit: int) -> DataFr
         F.max("size").alias("size"),
     )
     kinds = written(kinds, "kinds")
-    anchors = kinds.groupBy("anchor").agg(F.sum("weight").alias("total"), F.sum("size").alias("bytes"))
+    anchors = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("weight").alias("total"), F.sum("size").alias("bytes"))
     last = len(grams) == 1
-    repeated = anchors.where("total > 1").select("anchor", (F.lit(not last) & (F.col("bytes") > limit)).alias("hot"))
-    contexts = written(_fetched(kinds.join(repeated, "anchor"), base), "contexts")
-    marks = _sorted_shards(contexts.where("not hot").drop("hot"), length)
+    repeated = anchors.where("total > 1").select("anchor", "kinds", (F.lit(not last) & (F.col("bytes") > limit)).alias("hot"))
+    wanted = kinds.join(repeated, "anchor")
+    alone = F.array(F.struct(F.lit(0).alias("a"), (F.col("size") - (length - 1)).alias("b"))).alias("ranges")
+    marks = wanted.where("kinds = 1").select("anchor", "ctx", alone)
+    contexts = written(_fetched(wanted.where("kinds > 1").drop("kinds"), base), "contexts")
+    marks = marks.unionByName(_sorted_shards(contexts.where("not hot").drop("hot"), length))
     hot = contexts.where("hot").select("anchor", "ctx", "weight", "text")
     if not last and not hot.isEmpty():
         deeper = bucketed(hot.withColumn("rid", F.monotonically_increasing_id()), "hot", "rid")
@@ -300,14 +316,14 @@ def _level(base: DataFrame, length: int, grams: list[int], limit: int) -> DataFr
     return spans.select("rid", (F.col("lo") + F.col("a")).alias("a"), (F.col("lo") + F.col("b")).alias("b"))
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept) of every row: ``kept`` are the bytes not
     covered by a string of ``length`` bytes that also starts elsewhere, n_spans
     counts the runs of removed ones."""
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").cast("binary").alias("text"))
     base = base.select(F.monotonically_increasing_id().alias("rid"), F.lit(1).cast("bigint").alias("weight"), "id", F.coalesce("text", F.lit(b"")).alias("text"))
     base = bucketed(base, "texts", "rid")
-    marks = _level(base, length, gram_sizes(length), shard_bytes)
+    marks = _level(base, length, gram_sizes(length), hot_bytes)
     spans = marks.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans"))
     rows = base.join(spans, "rid", "left").select("id", "text", "spans")
 
