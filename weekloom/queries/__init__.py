@@ -6,6 +6,7 @@ from weekloom.queries import (  # noqa: F401  (importing registers the queries)
     columns,
     forecasts,
     joins,
+    plans,
     profiles,
     ranking,
     reshape,
