@@ -1,12 +1,12 @@
-"""Data profiles.  Quantiles are exact at any size, by one method: sketches of
-fixed size bracket the wanted ranks, counting passes confirm the brackets, and
-only the values inside them are put in order."""
+"""Data profiles.  Quantiles are exact at any size, by one method: counts of value
+buckets narrow the brackets of all wanted ranks together, and only the values
+inside the last brackets are put in order."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,115 +21,101 @@ WHISKER_IQR = 1.5
 #: Most rows of one bracket that may be put in order in one task; brackets that
 #: hold more are narrowed again.
 BRACKET_ROWS = 1_000_000
+#: Buckets that a pass counts in a bracket.
+BUCKETS = 4096
 
-_SLOTS = 200
-_SKETCH_ACCURACY = 10_000  # rank error a fiftieth of a slot
 
-
-def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float] = QUARTILES) -> DataFrame:
+def _joined(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``by`` in which null is a key like any other; the columns stay once."""
+    if not by:
+        return left.join(right)  # one row
+    renamed = right.withColumnsRenamed({c: f"_b_{c}" for c in by})
+    return left.join(renamed, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in by]), how).drop(*[f"_b_{c}" for c in by])
+
+
+def _narrowed(rows: DataFrame, ranks: DataFrame, by: list[str]) -> DataFrame:
+    """``ranks`` with brackets of about a ``BUCKETS``-th of their values: one pass counts
+    the rows of every bucket of every bracket.  A new bracket runs from the least to
+    the largest value of the bucket that holds the rank."""
+    low, high, v = F.col("lo"), F.col("hi"), F.col("_v")
+    brackets = ranks.filter("lo < hi").select(*by, "lo", "hi").distinct()
+    part = (v / 2 - low / 2) / (high / 2 - low / 2)
+    bucket = F.least(F.floor(part * BUCKETS), F.lit(BUCKETS - 1))
+    inside = _joined(rows, brackets, by).filter(v.between(low, high))
+    counts = inside.groupBy(*by, "lo", "hi", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("c"), F.min(v).alias("_from"), F.max(v).alias("_to"))
+    ends = counts.withColumn("_end", F.sum("c").over(Window.partitionBy(*by, "lo", "hi").orderBy("bucket")))
+    slots = ends.withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
+    met = (F.col("lo") == F.col("_lo")) & (F.col("hi") == F.col("_hi"))
+    place = F.col("rank") - F.col("below")
+    found = _joined(ranks.filter("lo < hi"), slots, by).filter(met & (place < F.col("_end")) & (place >= F.col("_end") - F.col("c")))
+    below = F.col("below") + F.col("_end") - F.col("c")
+    moved = found.select(*by, "j", "rank", F.col("_from").alias("lo"), F.col("_to").alias("hi"), below.alias("below"), F.col("c").alias("m"))
+    return stored(moved.unionByName(ranks.filter("lo = hi")), "brackets")
+
+
+def exact_quantiles(
+    df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float] = QUARTILES, also: dict[str, Callable[[Column], Column]] | None = None
+) -> DataFrame:
     """``by`` plus the array ``q``: linearly interpolated quantiles of the values
-    that are not null.  A null key is a group of its own, a group without values
-    has no row; without ``by`` there is one row, and ``q`` is null if there are no
-    values.
+    that are not null, and ``also`` further aggregates of them.  A null key is a group
+    of its own, a group without values has no row; without ``by`` there is one row, and
+    ``q`` is null if there are no values.
 
     A quantile lies between two ranks.  Each rank keeps a closed bracket of values
-    that holds it and the number of rows below the bracket.  A pass over the rows
-    narrows all brackets to about a seventieth of their rows; passes go on
-    until each holds at most ``BRACKET_ROWS`` rows or one value.  Brackets are one
-    short row per group, stored, so that Catalyst knows their size when it joins
-    them to the rows; rows themselves are only counted, never moved by group."""
-    rows = df.select(*by, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
-    by, names = list(by), [f"_t{j}" for j in range(2 * len(probs))]
-    spread = F.expr("array(" + ", ".join(f"{k / _SLOTS}D" for k in range(_SLOTS + 1)) + ")")
-
-    def sketch(v: Column) -> Column:
-        return F.percentile_approx(v, spread, _SKETCH_ACCURACY)
-
-    def keyed(left: DataFrame, brackets: DataFrame, how: str = "inner") -> DataFrame:
-        renamed = brackets.withColumnsRenamed({c: f"_b_{c}" for c in by})
-        if not by:
-            return left.join(renamed)  # one row
-        return left.join(renamed, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in by]), how)
-
-    def inside(t: str) -> Column:
-        return F.col("_v").between(F.col(f"{t}.lo"), F.col(f"{t}.hi"))
-
-    def cut(t: str) -> Column:
-        """A bracket with the two sketch values around its rank."""
-        slot = F.floor((F.col(f"{t}.rank") - F.col(f"{t}.below") + 0.5) / F.col(f"{t}.m") * _SLOTS).cast("int")
-        low, high = F.greatest(slot - 1, F.lit(0)), F.least(slot + 2, F.lit(_SLOTS))
-        parts = [F.col(f"{t}.{x}").alias(x) for x in ("rank", "lo", "hi", "below", "m")]
-        return F.struct(*parts, F.get(f"{t}_s", low).alias("cut_lo"), F.get(f"{t}_s", high).alias("cut_hi")).alias(t)
-
-    def narrowed(t: str) -> Column:
-        """The cut where it holds the rank (a sketch within its error always does), else the bracket as it was."""
-        rank, lt, le = F.col(f"{t}.rank"), F.col(f"{t}_lt"), F.col(f"{t}_le")
-        holds = (lt <= rank) & (rank < le)
-
-        def part(cut: Column, old: str) -> Column:
-            return F.when(holds, cut).otherwise(F.col(f"{t}.{old}")).alias(old)
-
-        cuts = part(F.col(f"{t}.cut_lo"), "lo"), part(F.col(f"{t}.cut_hi"), "hi")
-        return F.struct(rank.alias("rank"), *cuts, part(lt, "below"), part(le - lt, "m")).alias(t)
-
-    def narrow(cuts: DataFrame) -> DataFrame:
-        cuts, v = stored(cuts, "cuts"), F.col("_v")
-        sides = [c for t in names for c in (F.count_if(v < F.col(f"{t}.cut_lo")).alias(f"{t}_lt"), F.count_if(v <= F.col(f"{t}.cut_hi")).alias(f"{t}_le"))]
-        counts = keyed(rows, cuts).groupBy(*by).agg(*sides)
-        return stored(keyed(counts, cuts).select(*by, "_n", *[narrowed(t) for t in names]), "brackets")
-
-    # Ranks 2i and 2i + 1 are the neighbours of quantile i.
-    whole = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), sketch(F.col("_v")).alias("_s"))
+    that holds it and the number of rows below the bracket.  The first pass finds the
+    least and the largest value; further passes narrow the brackets until each holds at
+    most ``BRACKET_ROWS`` rows or one value.  The rows are stored once; brackets are one
+    short row per group and rank, stored, so that Catalyst knows their size when it
+    joins them to the rows; rows themselves are only counted, never moved by group."""
+    by = list(by)
+    number = F.col(value).cast("double")
+    rows = stored(df.select(*by, F.when(~F.isnan(number), number).alias("_v")).filter("_v IS NOT NULL"), "values")
+    v = F.col("_v")
+    extra = {name: made(v) for name, made in (also or {}).items()}
+    whole = rows.groupBy(*by).agg(F.count(v).alias("_n"), F.min(v).alias("_lo"), F.max(v).alias("_hi"), *[c.alias(n) for n, c in extra.items()])
+    whole = stored(whole, "groups")
+
+    # ranks 2i and 2i + 1 are the neighbours of quantile i
     places = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
-    ranks = [side(place).cast("bigint") for place in places for side in (F.floor, F.ceil)]
-    start = [
-        F.struct(r.alias("rank"), F.col("_lo").alias("lo"), F.col("_hi").alias("hi"), F.lit(0).cast("bigint").alias("below"), F.col("_n").alias("m")).alias(t)
-        for t, r in zip(names, ranks, strict=True)
-    ]
-    first = whole.filter("_n > 0").select(*by, "_n", *start, *[F.col("_s").alias(f"{t}_s") for t in names])
-    brackets = narrow(first.select(*by, "_n", *[cut(t) for t in names]))
-    open_rows = F.greatest(*[F.when(F.col(f"{t}.lo") < F.col(f"{t}.hi"), F.col(f"{t}.m")).otherwise(0) for t in names])
-
-    def widest() -> int:
-        return brackets.agg(F.max(open_rows)).first()[0] or 0
-
-    before, now = None, widest()
-    while now > BRACKET_ROWS and now != before:
-        sketches = keyed(rows, brackets).groupBy(*by).agg(*[sketch(F.when(inside(t), F.col("_v"))).alias(f"{t}_s") for t in names])
-        brackets = narrow(keyed(sketches, brackets).select(*by, "_n", *[cut(t) for t in names]))
-        before, now = now, widest()
-
-    # Brackets of one value are settled; the values inside the others are counted and put in order.
-    sought = {t: inside(t) & (F.col(f"{t}.lo") < F.col(f"{t}.hi")) for t in names}
-    held = [F.when(c, F.struct(F.lit(j).alias("j"), F.col(f"{t}.rank").alias("rank"), F.col(f"{t}.below").alias("below"))) for j, (t, c) in enumerate(sought.items())]
-    values = keyed(rows, brackets).filter(reduce(or_, sought.values())).select(*by, "_v", F.inline(F.array_compact(F.array(*held))))
-    values = values.groupBy(*by, "j", "rank", "below", "_v").agg(F.count(F.lit(1)).alias("c"))
+    sides = [side(place).cast("bigint") for place in places for side in (F.floor, F.ceil)]
+    listed = F.array(*[F.struct(F.lit(j).alias("j"), rank.alias("rank")) for j, rank in enumerate(sides)])
+    ranks = whole.filter("_n > 0").select(
+        *by, F.inline(listed), F.col("_lo").alias("lo"), F.col("_hi").alias("hi"), F.lit(0).cast("bigint").alias("below"), F.col("_n").alias("m")
+    )
+    ranks = ranks.select(*by, "j", "rank", "lo", "hi", "below", "m")
+
+    def widest(now: DataFrame) -> int:
+        return now.filter("lo < hi").agg(F.max("m")).first()[0] or 0
+
+    ranks = _narrowed(rows, ranks, by)
+    while widest(ranks) > BRACKET_ROWS:
+        ranks = _narrowed(rows, ranks, by)
+
+    # brackets of one value are settled; the values inside the others are put in order
+    open_ranks = ranks.filter("lo < hi").drop("m")
+    held = _joined(rows, open_ranks, by).filter(v.between(F.col("lo"), F.col("hi")))
+    values = held.groupBy(*by, "j", "rank", "below", "_v").agg(F.count(F.lit(1)).alias("c"))
     end = F.col("below") + F.sum("c").over(Window.partitionBy(*by, "j").orderBy("_v"))
     at_rank = values.withColumn("end", end).filter((F.col("end") > F.col("rank")) & (F.col("end") - F.col("c") <= F.col("rank")))
-    found = at_rank.groupBy(*by).agg(*[F.max(F.when(F.col("j") == j, F.col("_v"))).alias(f"{t}_v") for j, t in enumerate(names)])
-    at = [F.when(F.col(f"{t}.lo") == F.col(f"{t}.hi"), F.col(f"{t}.lo")).otherwise(F.col(f"{t}_v")) for t in names]
-    between = [at[2 * i] + (at[2 * i + 1] - at[2 * i]) * (place - F.floor(place)) for i, place in enumerate(places)]
-    q = F.array(*between).alias("q")
-    if not by:
-        return stored(brackets.join(found).select(q).agg(F.first("q").alias("q")), "quantiles")
-    return stored(keyed(brackets, found, "left").select(*by, q), "quantiles")
+    settled = ranks.filter("lo = hi").select(*by, "j", F.col("lo").alias("_v"))
+    found = settled.unionByName(at_rank.select(*by, "j", "_v")).groupBy(*by).agg(*[F.max(F.when(F.col("j") == j, v)).alias(f"_at{j}") for j in range(2 * len(probs))])
+    between = [
+        F.col(f"_at{2 * i}") + (F.col(f"_at{2 * i + 1}") - F.col(f"_at{2 * i}")) * (place - F.floor(place)) for i, place in enumerate(places)
+    ]
+    q = F.when(F.col("_n") > 0, F.array(*between)).alias("q")
+    return stored(_joined(whole, found, by, "left").select(*by, *extra, q), "quantiles")
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, sample deviation, minimum, quartiles and maximum per column."""
     columns = list(columns)
-    basics = {
-        "count": F.count,
-        "mean": lambda c: F.avg(c.cast("double")),
-        "std": lambda c: F.stddev_samp(c.cast("double")),
-        "min": lambda c: F.min(c.cast("double")),
-        "max": lambda c: F.max(c.cast("double")),
-    }
-    fixed = ["column", "count", "mean", "std", "min", "max"]
+    basics = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     picks = [F.get("q", F.lit(i)).alias(name) for i, name in enumerate(("q25", "q50", "q75"))]
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    quantiles = exact_quantiles(df.select(F.inline(pairs)), ["column"], "value")
-    return _per_column(df, columns, **basics).join(quantiles, "column", "left").select(*fixed, *picks)
+    found = exact_quantiles(df.select(F.inline(pairs)), ["column"], "value", also=basics)
+    listed = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, columns))).alias("column"))  # a table without rows has columns too
+    counted = listed.join(found, "column", "left").withColumn("count", F.coalesce("count", F.lit(0)))
+    return counted.select("column", *basics, *picks)
 
 
 def categorical_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
