@@ -14,6 +14,7 @@ from weekloom.sources.readers import (
     scan_result_files,
     with_ingest_order,
 )
+from weekloom.sources.records import lines, quote_parity
 from weekloom.sources.writers import write_per_group, write_table
 
 
@@ -59,6 +60,44 @@ def test_line_breaks_and_column_order(spark, tmp_path):
     (mixed / "b.csv").write_text("Artists,Song Title,Date\na,t,2020-01-02\n")
     with pytest.raises(Exception, match="(?i)header"):
         read_csv_chart(spark, str(mixed)).collect()
+    (mixed / "c.csv").write_text('Song Title,Artists,Date\n"t\nu",a,2020-01-02\n')
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_chart(spark, str(mixed)).collect()
+
+
+def test_one_file_with_line_breaks_is_read_by_many_tasks(spark, tmp_path):
+    import csv
+    import random
+
+    rng = random.Random(4)
+    words = ["plain", 'a "quoted" word', "two\nlines", "three\n\n\"lines\"\n", "comma, inside", "é", "", 'x""y', "cr\r\nlf"]
+    rows = [(k, rng.choice(words) + str(k), rng.choice(words), k * 7, "2020-01-02") for k in range(3000)]
+    path = tmp_path / "chart.csv"
+    with path.open("w", newline="") as out:
+        writer = csv.writer(out, lineterminator="\r\n")
+        writer.writerow(["Position", "Song Title", "Artists", "Streams", "Date"])
+        writer.writerows(rows)
+    with path.open("a", newline="") as out:
+        out.write('9000,"no end of line","' + "long\n" * 5000 + '",1,2020-01-02')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        read = read_csv_chart(spark, str(path))
+        ranges = quote_parity(lines(spark, str(path))).collect()
+        got = sorted(tuple(r) for r in read.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(ranges) > 20 and sum(r.begins_open for r in ranges) > 5
+    want = [(k, t, a or None, s, d) for k, t, a, s, d in rows] + [(9000, "no end of line", "long\n" * 5000, 1, "2020-01-02")]
+    assert got == sorted(want)
+
+
+def test_files_without_line_breaks_keep_the_plain_reader(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Song Title,Artists,Date\n"a ""b"" c",x,2020-01-02\n\n')
+    read = read_csv_chart(spark, str(tmp_path / "a.csv"))
+    assert [tuple(r) for r in read.collect()] == [('a "b" c', "x", "2020-01-02")]
+    assert "FileScan csv" in read._jdf.queryExecution().executedPlan().toString()
 
 
 def test_text_columns_of_result_files_stay(spark, tmp_path):

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from weekloom.functions.labels import model_from_filename
 from weekloom.functions.numbers import parse_grouped_int, to_number
+from weekloom.session import stored
+from weekloom.sources.records import csv_records, lines, quote_parity
 
 # Header and types of the raw chart file.
 CHART_TYPES = {
@@ -58,12 +60,29 @@ def _typed_csv(spark: SparkSession, paths: list[str] | str, header: list[str], t
 
 def read_csv_chart(spark: SparkSession, path: str, required=CHART_REQUIRED) -> DataFrame:
     """Raw chart rows with fixed types.  An absent path raises Spark's own
-    error, an absent required column raises :class:`MissingColumns`.  Quoted
-    titles may hold line breaks, so a file is read by one task; a folder of
-    files whose columns differ in order is refused."""
+    error, an absent required column raises :class:`MissingColumns`; a folder of
+    files whose columns differ in order is refused when it is read.
+
+    A scan of the quotes tells whether titles hold line breaks.  Where none does the
+    files are split as they are, else records are found in parallel (see
+    ``records``); a large file is read by many tasks either way."""
     header = _csv_header(spark, path)
     require_columns(header, required)
-    return _typed_csv(spark, path, header, CHART_TYPES, "string", multiLine=True, enforceSchema=False)
+    parity = quote_parity(lines(spark, path))
+    if parity.filter("broken > 0").isEmpty():
+        return _typed_csv(spark, path, header, CHART_TYPES, "string", enforceSchema=False)
+    types = ", ".join(f"`{c}` {CHART_TYPES.get(c, 'string')}" for c in header)
+    names = ", ".join(f"`{i}` string" for i in range(len(header)))
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in CSV_OPTIONS.items() if k != "header"}
+    records = csv_records(spark, path, stored(parity, "parity"))
+    cells = F.array(*[F.col(f"cells.`{i}`") for i in range(len(header))])
+    parsed = records.select(F.from_csv("text", F.lit(types), options).alias("row"), F.from_csv("text", F.lit(names), options).alias("cells"))
+    # a header has the names of the columns, each in its place; one with the same names elsewhere is of another file
+    is_header = cells == F.array(*map(F.lit, header))
+    other = F.sort_array(F.transform(cells, lambda c: F.coalesce(c, F.lit("")))) == F.sort_array(F.array(*map(F.lit, header)))
+    refused = F.raise_error(F.lit("CSV header does not conform to the schema: the columns of a file are in another order"))
+    kept = F.when(is_header, F.lit(False)).when(other, refused.cast("boolean")).otherwise(F.lit(True))
+    return parsed.filter(kept).select("row.*")
 
 
 def read_optional(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame | None:
