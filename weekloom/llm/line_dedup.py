@@ -93,7 +93,7 @@ class LineRuns:
 
 
 def drop_common_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, batches: int = 2, keep_first: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, batches: int = 5, keep_first: bool = False
 ) -> DataFrame:
     """``docs`` with the text rewritten, and columns ``n_lines`` (before) and
     ``n_dropped``; columns of ``docs`` with these names are replaced."""
@@ -113,13 +113,19 @@ def drop_common_lines(
     hits = places.join(common, "hash")
     if keep_first:
         hits = hits.where(~F.col("id").eqNullSafe(F.col("first_id")))
+    # dropped places as bits of 64-bit words, one for every 64 lines of a row, hit or not
     row, drop = fresh(docs, "row"), fresh(docs, "drop")
-    gone = hits.groupBy(F.col("row").alias(row)).agg(F.collect_set("pos").alias(drop))
+    bits = hits.select("row", F.expr("pos div 64").cast("int").alias("word"), F.expr("shiftleft(1L, pos % 64)").alias("bits"))
+    blank = keyed.select("row", F.explode(F.sequence(F.lit(0), F.expr("cast((size(line_hashes) - 1) div 64 as int)"))).alias("word"), F.lit(0).cast("bigint").alias("bits"))
+    words = bits.unionByName(blank).groupBy("row", "word").agg(F.bit_or("bits").alias("bits"))
+    gone = words.groupBy(F.col("row").alias(row)).agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"]).alias(drop))
     joined = docs.withColumn(row + "_", _row_key(id_, text)).join(gone, F.col(row + "_") == F.col(row), "left")
     lines = _lines(text)
-    kept = F.when(F.col(drop).isNull(), F.coalesce(text, F.lit(""))).otherwise(
-        F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(F.col(drop), i)), "\n")
-    )
-    dropped = F.when(F.col(drop).isNull(), F.lit(0)).otherwise(F.size(drop)).cast("bigint")
+    dropped = F.aggregate(F.col(drop), F.lit(0).cast("bigint"), lambda n, w: n + F.bit_count(w))
+
+    def is_kept(_: Column, i: Column) -> Column:
+        return F.getbit(F.get(F.col(drop), F.floor(i / 64).cast("int")), i % 64) == 0
+
+    kept = F.when(dropped == 0, F.coalesce(text, F.lit(""))).otherwise(F.array_join(F.filter(lines, is_kept), "\n"))
     counts = {"n_lines": F.size(lines).cast("bigint"), "n_dropped": dropped}
     return joined.withColumns({**counts, text_col: kept}).drop(row, row + "_", drop)
