@@ -3,6 +3,8 @@ ties, outliers, tiny and dominant groups; columns and label profiles."""
 
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,6 +96,41 @@ def test_column_choices(spark):
         ml_features(df.select("z"), "z")
 
 
+def test_doubtful_columns_are_counted_exactly(spark, monkeypatch):
+    import weekloom.operators.columns as columns
+
+    df = spark.range(20_000).select(
+        (F.col("id") % 199).alias("below"), (F.col("id") % 200).alias("at"), (F.col("id") % 201).alias("above"), F.lit(0.5).alias("constant"),
+        F.col("id").alias("own"), F.lit(None).cast("double").alias("none"),
+    )
+    counted = []
+    exact = columns.near_constant_columns
+    monkeypatch.setattr(columns, "near_constant_columns", lambda d, names, ratio, approximate=False: counted.append((approximate, names)) or exact(d, names, ratio, approximate))
+    assert columns.near_constant_names(df, df.columns) == ["below", "constant", "none"]
+    assert counted == [(True, df.columns), (False, ["below", "at", "above"])]
+
+
+def test_correlations_of_many_columns(spark):
+    rng = np.random.default_rng(3)
+    wide = rng.normal(size=(400, 300)) * 10.0 ** rng.integers(-3, 4, 300) + 10.0 ** rng.integers(0, 6, 300)
+    wide[:, 1] = wide[:, 0] * 2 + rng.normal(size=400) * 1e-3
+    wide[:, 2] = 7.1
+    frame = pd.DataFrame(wide, columns=[f"c{i}" for i in range(300)])
+    frame = frame.mask(rng.random(frame.shape) < 0.1)
+    frame["c3"] = np.nan
+    df = spark.createDataFrame(frame.astype(object).where(frame.notna(), None), ", ".join(f"{c} double" for c in frame.columns)).repartition(5)
+    got = profile.correlation_matrix(df, df.columns).toPandas().pivot(index="x", columns="y", values="r").loc[frame.columns, frame.columns]
+    want = frame.corr()
+    want.loc["c2"], want["c2"] = np.nan, np.nan
+    expected = want.to_numpy(float, copy=True)
+    np.fill_diagonal(expected, np.nan)
+    np.testing.assert_allclose(got.to_numpy(float), expected, atol=1e-7)
+    few = profile.correlation_matrix(df, ["c0", "c1", "c4"]).collect()
+    assert all(r.r == pytest.approx(got.loc[r.x, r.y], abs=1e-9) for r in few)
+    none = profile.gram_correlations(df.limit(0), ["c0", "c1"]).collect()
+    assert [(r.x, r.y, r.r) for r in none] == [("c0", "c1", None), ("c1", "c0", None)]
+
+
 def test_categorical_ties_take_the_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,)], "c string")
     assert tuple(profile.categorical_profile(df, ["c"]).first()) == ("c", 4, 2, "a", 2)

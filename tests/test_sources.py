@@ -126,6 +126,23 @@ def test_result_files_with_different_headers(spark, tmp_path):
     assert scan_result_files(spark, str(tmp_path / "nothing"), "metrics") is None
 
 
+def test_jobs_do_not_grow_with_result_files(spark, tmp_path):
+    def jobs(n):
+        folder = tmp_path / f"of {n}"
+        folder.mkdir()
+        for k in range(n):
+            (folder / f"genre_naive_metrics_{k}.csv").write_text(f"genre,mae{',\"a, b\"' if k % 2 else ''}\npop,{k}{',1' if k % 2 else ''}\n")
+        group = f"headers of {n}"
+        spark.sparkContext.setJobGroup(group, group)
+        found = scan_result_files(spark, str(folder), "metrics")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert found.count() == n and set(found.columns) == {"genre", "mae", "a, b", "source_file", "model"}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    # beyond 32 paths the listing itself is a job for each scan
+    assert jobs(120) == jobs(80) <= jobs(4) + 3
+
+
 def test_tables_round_trip(spark, tmp_path):
     df = spark.range(100).select(F.col("id"), (F.col("id") % 3).cast("string").alias("genre"), F.lit(' a "b" ').alias("t"))
     write_table(df, str(tmp_path / "csv"), "csv")

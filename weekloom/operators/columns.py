@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
+from weekloom.session import stored
+
 # Columns the cleaning step drops when present.
 ID_COLUMNS = (
     "mbid", "mb_recording_id", "error", "acoustic_ab_genre_tzanetakis_value",
@@ -126,15 +128,26 @@ def binary_columns(df: DataFrame, prefix: str = "deezer_genre_") -> DataFrame:
     return table.select("column", "filled", F.col("only_flags").alias("is_binary"))
 
 
-def near_constant_columns(
-    df: DataFrame, columns: list[str], ratio: float = NEAR_CONSTANT_RATIO, approximate: bool = False
-) -> DataFrame:
+#: Relative deviation of the sketch that counts distinct values, and how many of them
+#: a column must be away from the line to be decided by it.
+SKETCH_ERROR = 0.02
+CLEAR = 8
+
+
+def _distinct_share(distinct: DataFrame, ratio: float) -> DataFrame:
+    share = F.col("n") / F.col("rows")
+    return distinct.select(
+        "column", F.col("n").alias("distinct_values"), share.alias("distinct_ratio"), (share < ratio).alias("is_near_constant")
+    )
+
+
+def near_constant_columns(df: DataFrame, columns: list[str], ratio: float = NEAR_CONSTANT_RATIO, approximate: bool = False) -> DataFrame:
     """Distinct non-null values per row of each column; below ``ratio`` the
     column counts as near constant.  Exact by default: (column, value) pairs
     are made distinct first, which Spark does map-side, so no task sees a
     column's raw values twice.  ``approximate`` uses sketches of fixed size."""
     if approximate:
-        distinct = _per_column(df, columns, n=lambda c: F.approx_count_distinct(c), rows=lambda c: F.count(F.lit(1)))
+        distinct = _per_column(df, columns, n=lambda c: F.approx_count_distinct(c, SKETCH_ERROR), rows=lambda c: F.count(F.lit(1)))
     else:
         pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
         distinct = (
@@ -144,20 +157,31 @@ def near_constant_columns(
             .groupBy("column")
             .agg(F.count("value").alias("n"), F.sum("n_rows").alias("rows"))
         )
-    share = F.col("n") / F.col("rows")
-    return distinct.select(
-        "column",
-        F.col("n").alias("distinct_values"),
-        share.alias("distinct_ratio"),
-        (share < ratio).alias("is_near_constant"),
-    )
+    return _distinct_share(distinct, ratio)
+
+
+def doubtful_columns(sketched: DataFrame, ratio: float = NEAR_CONSTANT_RATIO) -> list[str]:
+    """Columns whose sketch is too near the line to decide."""
+    margin = CLEAR * SKETCH_ERROR
+    near = F.col("distinct_ratio").between(ratio * (1 - margin), ratio * (1 + margin))
+    return chosen(sketched.withColumn("near", F.coalesce(near, F.lit(False))), "near")
+
+
+def near_constant_names(df: DataFrame, columns: list[str], ratio: float = NEAR_CONSTANT_RATIO) -> list[str]:
+    """The near-constant columns.  Sketches decide those that are clear of the line (by
+    eight deviations), without moving a value; only the others are counted exactly."""
+    sketched = stored(near_constant_columns(df, columns, ratio, approximate=True), "sketches")
+    doubtful = doubtful_columns(sketched, ratio)
+    clear = [c for c in chosen(sketched, "is_near_constant") if c not in doubtful]
+    exact = chosen(near_constant_columns(df, doubtful, ratio), "is_near_constant") if doubtful else []
+    return [c for c in columns if c in clear or c in exact]
 
 
 def drop_near_constant(df: DataFrame, prefix: str = "acoustic_", suffix: str = "_prob", **kw) -> DataFrame:
     candidates = [c for c in df.columns if c.startswith(prefix) and c.endswith(suffix)]
     if not candidates:
         return df
-    return df.drop(*chosen(near_constant_columns(df, candidates, **kw), "is_near_constant"))
+    return df.drop(*near_constant_names(df, candidates, **kw))
 
 
 def empty_columns(df: DataFrame) -> DataFrame:

@@ -4,15 +4,22 @@ inside the last brackets are put in order."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import sys
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from operator import and_
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.operators.columns import _per_column
-from weekloom.session import stored
+from weekloom.session import spread, stored
+
+# The functions travel with their task: executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 QUARTILES = (0.25, 0.5, 0.75)
 HISTOGRAM_BINS = 30
@@ -187,10 +194,20 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS)
     )
 
 
+#: Columns up to which every pair is an expression of one aggregation.
+PAIRED_COLUMNS = 24
+#: A variance below this share of the mean square is rounding.
+_NO_VARIANCE = 1e-12
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair, rows complete for the pair; all pairs
-    in one aggregation.  One row per ordered pair of different columns."""
+    """Pearson correlation of every pair, rows complete for the pair; null where a
+    column does not vary in them.  One row per ordered pair of different columns.
+    Few columns are pairs of expressions in one aggregation, many are blocks of
+    products (see :func:`gram_correlations`)."""
     columns = list(columns)
+    if len(columns) > PAIRED_COLUMNS:
+        return gram_correlations(df, columns)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
     one_row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
     cells = [
@@ -201,6 +218,59 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return one_row.select(F.inline(F.array(*cells)))
 
 
+def gram_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """As :func:`correlation_matrix`, for hundreds of columns.  Each task multiplies its
+    Arrow batches with their masks of present values, which gives counts, sums, squares
+    and products of every pair at once; a task keeps them in one matrix of the width
+    of the schema, and the rows of the matrices are added up by column.  Values are
+    taken from the column's mean, so that products do not cancel."""
+    columns, k = list(columns), len(columns)
+    means = df.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(columns)])
+    centred = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)]).join(F.broadcast(means))  # one row
+    values = centred.select(*[(F.col(f"c{i}") - F.col(f"m{i}")).alias(f"c{i}") for i in range(k)])
+    kind = "i int, sums array<double>"
+    type_ = [pa.int32(), pa.list_(pa.float64())]
+
+    def rows(matrices: np.ndarray) -> pa.RecordBatch:
+        n, s, q, p = matrices  # of (i, j): rows with both, sum of i, squares of i, products
+        per_row = np.concatenate([n, s, s.T, q, q.T, p], axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(range(k), type_[0]), pa.array(list(per_row), type_[1])], ["i", "sums"])
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, k, k))
+        for batch in batches:
+            for start in range(0, batch.num_rows, 8192):
+                part = batch.slice(start, 8192)
+                x = np.stack([c.to_numpy(zero_copy_only=False) for c in part.columns], axis=1)
+                there = ~np.isnan(x)
+                x, there = np.where(there, x, 0.0), there.astype(float)
+                total += [there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x]
+        if total.any():
+            yield rows(total)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, sums in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                new = sums.values.to_numpy(zero_copy_only=False)
+                held[i] = held[i] + new if i in held else new
+        for i, sums in held.items():
+            n, mine, other, mine2, other2, products = sums.reshape(6, k)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                a, b = mine2 / n - (mine / n) ** 2, other2 / n - (other / n) ** 2
+                r = (products / n - mine / n * (other / n)) / np.sqrt(a * b)
+                varies = (a > _NO_VARIANCE * mine2 / n) & (b > _NO_VARIANCE * other2 / n)
+            r[~varies] = np.nan
+            yield pa.RecordBatch.from_arrays([pa.array([i], type_[0]), pa.array([r], type_[1])], ["i", "sums"])
+
+    spark = df.sparkSession
+    found = spread(values.mapInArrow(partial, kind), "i").mapInArrow(added, kind)
+    names = F.array(*map(F.lit, columns))
+    listed = spark.range(1).select(F.posexplode(names).alias("i", "x"))  # a table without rows has columns too
+    cells = listed.join(found, "i", "left").select("i", "x", F.posexplode(names).alias("j", "y"), "sums").filter("i <> j")
+    return cells.select("x", "y", F.nanvl(F.get("sums", F.col("j")), F.lit(None)).alias("r"))
+
+
 def correlations_with(matrix: DataFrame, target: str) -> DataFrame:
     """Correlations with one column, strongest positive first."""
     return matrix.filter(F.col("x") == target).select("y", "r").orderBy(F.desc_nulls_last("r"), "y")

@@ -3,7 +3,8 @@ listing is the most that is read on the driver."""
 
 from __future__ import annotations
 
-from collections import defaultdict
+import csv
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -142,29 +143,34 @@ def load_model_dataset(df: DataFrame) -> DataFrame:
     return out.orderBy("date") if "date" in out.columns else out
 
 
-def list_result_sets(spark: SparkSession, folder: str, kind: str) -> list[str]:
-    """Paths directly below ``folder`` whose name contains ``kind`` and not
-    ``combined``.  One entry per model run, so the list is short."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*{kind}*")
-    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(pattern) or []
-    names = [status.getPath().toString() for status in found]
-    return sorted(n for n in names if "combined" not in n.rsplit("/", 1)[-1])
+def result_headers(spark: SparkSession, folder: str, kind: str) -> list[tuple[list[str], list[str]]]:
+    """(columns, files) of every header among the files directly below ``folder``
+    whose set's name contains ``kind`` and not ``combined``.  A set is a file or a
+    directory of part files.  One scan of the first lines of all files finds them, so the
+    number of jobs does not grow with the files; what reaches the driver is of the size
+    of the directory listing."""
+    read = read_optional(spark, f"{folder}/*{kind}*", "text")
+    if read is None:
+        return []
+    path = F.col("_metadata.file_path")
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    first = read.select(path.alias("file"), place.alias("place"), "value").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    named = first.filter(~F.contains(_set_name(F.col("file")), F.lit("combined"))).groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    # file paths come URL-encoded
+    return sorted((next(csv.reader([r["header"]])), [unquote(f) for f in r["files"]]) for r in named.collect())
+
+
+def _set_name(path: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(path, r"/part-[^/]*$", ""), r"^.*/", "")
 
 
 def scan_result_files(spark: SparkSession, folder: str, kind: str = "metrics") -> DataFrame | None:
     """All result sets of one kind as one table with ``source_file`` and
-    ``model``.  Sets with the same header share one scan; missing columns are
-    null.  A set is a file or a directory of part files."""
-    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path in list_result_sets(spark, folder, kind):
-        by_header[tuple(_csv_header(spark, path))].append(path)
+    ``model``.  Files with the same header share one scan; missing columns are null."""
     types = {"date": "date"}
-    path = F.col("_metadata.file_path")
-    set_name = F.regexp_replace(F.regexp_replace(path, r"/part-[^/]*$", ""), r"^.*/", "")
     result: DataFrame | None = None
-    for header, paths in sorted(by_header.items()):
-        part = _typed_csv(spark, paths, list(header), types, "string").withColumn("source_file", set_name)
+    for header, files in result_headers(spark, folder, kind):
+        part = _typed_csv(spark, files, header, types, "string").withColumn("source_file", _set_name(F.col("_metadata.file_path")))
         result = part if result is None else result.unionByName(part, allowMissingColumns=True)
     if result is None:
         return None
