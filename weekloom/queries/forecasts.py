@@ -1,8 +1,13 @@
+from itertools import product
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weekloom.operators.decompose import acf, decompose_additive, pacf
 from weekloom.operators.forecast import (
+    CHANGEPOINT_SCALES,
+    SEASONALITY_MODES,
+    SEASONALITY_SCALES,
     arma_orders,
     autoregressive_forecast,
     drift,
@@ -200,7 +205,68 @@ def _seasonal_ar_forecast(spark, d):
     return seasonal_ar(genre_grid(spark, d))
 
 
-@query("grid_tuned_trend_season", "genre:s date:d best_params:s actual:f2 predicted:f2")
+_GRID = list(product(CHANGEPOINT_SCALES, SEASONALITY_SCALES, SEASONALITY_MODES))
+_FOURIER = [f"{fn}(2 * pi() * {k} * day / {period})" for period, order in ((365.25, 10), (7.0, 3)) for k in range(1, order + 1) for fn in ("sin", "cos")]
+_TREND = ["1.0", "t", *(f"greatest(t - {k} * 0.8 / 25, 0.0)" for k in range(1, 26))]
+_WIDTH = len(_TREND) + len(_FOURIER)
+
+
+def _weighted(matrix: str, penalty: str) -> str:
+    """A matrix with the penalty of row i on its diagonal."""
+    return f"list_transform({matrix}, lambda r, i: list_transform(r, lambda z, j: z + CASE WHEN i = j THEN {penalty} ELSE 0 END))"
+
+
+def _gram(columns: str, size: int) -> str:
+    """Products of the first ``size`` columns with those and the one after."""
+    return f"list_transform({columns}[1:{size}], lambda a: list_transform({columns}, lambda b: list_inner_product(a, b)))"
+
+
+def _solution(size: int) -> str:
+    return f"list_transform(a, lambda r: r[{size + 1}])"
+
+
+_TREND_PENALTY = "CASE WHEN i <= 2 THEN 1e-8 ELSE 0.25 / (cp * cp) END"
+_TREND_SEASON_SQL = f"""{GENRE_SQL},
+placed AS (SELECT genre, date, total, date - DATE '1970-01-01' AS day, row_number() OVER (PARTITION BY genre ORDER BY date) AS rn,
+    count(*) OVER (PARTITION BY genre) AS n FROM genre_weekly),
+stages AS (SELECT *, n - 8 * stage AS upto FROM placed, (SELECT unnest([1, 2]) AS stage) WHERE n >= 60),
+bases AS (SELECT genre, stage, max(abs(total)) AS scale, min(day) AS start, max(day) - min(day) AS span FROM stages WHERE rn <= upto GROUP BY ALL),
+timed AS (SELECT s.*, scale, total / scale AS y, (day - start) / span AS t FROM stages s JOIN bases b ON s.genre = b.genre AND s.stage = b.stage
+    WHERE rn <= upto + 8),
+drawn AS (SELECT *, [{", ".join(_TREND)}] AS tx, [{", ".join(_FOURIER)}] AS sx FROM timed),
+scales AS (SELECT unnest([{", ".join(str(c) for c in CHANGEPOINT_SCALES)}]) AS cp),
+trend_rows AS (SELECT genre, stage, list(list_append(tx, y) ORDER BY rn) AS m FROM drawn WHERE rn <= upto GROUP BY ALL),
+trend_columns AS (SELECT genre, stage, list_transform(range(1, {len(_TREND) + 2}), lambda i: list_transform(m, lambda r: r[i])) AS c FROM trend_rows),
+trend_grams AS (SELECT genre, stage, {_gram("c", len(_TREND))} AS g FROM trend_columns),
+trend_systems AS (SELECT genre, stage, cp, {_weighted("g", _TREND_PENALTY)} AS a FROM trend_grams, scales),
+{_eliminated("trend", "trend_systems", len(_TREND))},
+variants AS (SELECT genre, stage, cp, 'multiplicative' AS mode, {_solution(len(_TREND))} AS level FROM trend_{len(_TREND)}
+    UNION ALL SELECT genre, stage, cp, 'additive', CAST(NULL AS DOUBLE[]) FROM trend_grams, scales),
+designed AS (SELECT d.genre, d.stage, cp, mode, date, total, rn, upto, scale, y,
+    list_concat(tx, list_transform(sx, lambda s: s * coalesce(list_inner_product(tx, level), 1.0))) AS x
+    FROM drawn d JOIN variants v ON d.genre = v.genre AND d.stage = v.stage),
+design_rows AS (SELECT genre, stage, cp, mode, list(list_append(x, y) ORDER BY rn) AS m FROM designed WHERE rn <= upto GROUP BY ALL),
+design_columns AS (SELECT genre, stage, cp, mode, list_transform(range(1, {_WIDTH + 2}), lambda i: list_transform(m, lambda r: r[i])) AS c FROM design_rows),
+design_grams AS (SELECT genre, stage, cp, mode, {_gram("c", _WIDTH)} AS g FROM design_columns),
+combos AS (SELECT unnest(range({len(_GRID)})) AS k, unnest([{", ".join(str(c) for c, _, _ in _GRID)}]) AS cp,
+    unnest([{", ".join(str(s) for _, s, _ in _GRID)}]) AS sp, unnest([{", ".join(f"'{m}'" for *_, m in _GRID)}]) AS mode,
+    unnest([{", ".join(f"'changepoint={c}, seasonality={s}, mode={m}'" for c, s, m in _GRID)}]) AS best_params),
+ridge AS (SELECT genre, stage, k, g.cp, g.mode, best_params,
+    {_weighted("g", f"CASE WHEN i <= 2 THEN 1e-8 WHEN i <= {len(_TREND)} THEN 0.25 / (g.cp * g.cp) ELSE 0.25 / (sp * sp) END")} AS a
+    FROM design_grams g JOIN combos c ON g.cp = c.cp AND g.mode = c.mode),
+{_eliminated("fitted", "ridge", _WIDTH)},
+predictions AS (SELECT f.genre, f.stage, k, best_params, date, total AS actual, list_inner_product(x, {_solution(_WIDTH)}) * scale AS predicted
+    FROM fitted_{_WIDTH} f JOIN designed d ON f.genre = d.genre AND f.stage = d.stage AND f.cp = d.cp AND f.mode = d.mode WHERE rn > upto),
+tuned AS (SELECT genre, k FROM predictions WHERE stage = 2 GROUP BY genre, k
+    QUALIFY row_number() OVER (PARTITION BY genre ORDER BY avg(abs((actual - predicted) / nullif(actual, 0))), k) = 1)"""
+
+
+@query(
+    "grid_tuned_trend_season",
+    "genre:s date:d best_params:s actual:f2 predicted:f2",
+    f"""WITH {_TREND_SEASON_SQL} SELECT p.genre, date, best_params, actual, predicted
+        FROM predictions p JOIN tuned t ON p.genre = t.genre AND p.k = t.k WHERE stage = 1""",
+)
 def _grid_tuned_trend_season(spark, d):
     return grid_tuned_trend_season(genre_weekly(spark, d))
 
