@@ -2,6 +2,8 @@ import hashlib
 import io
 import zipfile
 
+from pyspark.sql import functions as F
+
 from weekloom.llm import warc
 from weekloom.llm.warc import DATA, read_archives, stored_members, write_archives
 from weekloom.session import scratch_path
@@ -33,6 +35,15 @@ def test_round_trip_over_small_archives(spark, monkeypatch):
     assert {r.url for r in records} == {u.replace("\n", "%0A") if u is not None else None for _, u, _ in ROWS}
 
 
+def test_ranges_are_read_in_parallel(spark):
+    rows = [(k, f"http://{k}", f"page {k} " * 50) for k in range(60)]
+    made = write_archives(pages(spark, rows), scratch_path(spark, "warc"), archive_bytes=2000)
+    records = read_archives(made, range_bytes=1)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert records.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert records.select(F.spark_partition_id().alias("p")).distinct().count() > 1 and records.count() == 60
+
+
 def test_empty_table(spark):
     assert read_archives(write_archives(pages(spark, []), scratch_path(spark, "warc"))).collect() == []
 

@@ -31,7 +31,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm.scratch import written
+from weekloom.llm.scratch import partitions, written
 from weekloom.session import scratch_path
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
@@ -250,14 +250,15 @@ def read_ranges(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFram
                     [pa.array([path] * len(starts), pa.string()), pa.array(starts, pa.int64()), pa.array(runs, pa.list_(pa.int64()))], ["path", "start", "lengths"]
                 )
 
-    spread = archives.select("path").repartition(F.xxhash64("path"))
+    spread = archives.select("path").repartition(partitions(archives.sparkSession), "path")
     return spread.mapInArrow(run, "path string, start bigint, lengths array<bigint>")
 
 
-def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
+def read_archives(archives: DataFrame, payloads: bool = True, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """RECORD rows of the archives named in ``path``; ``payloads`` false leaves
     the checked payloads out of the result."""
-    ranges = read_ranges(archives).repartition("path", "start")
+    # a row of a few kilobytes stands for a range: the number keeps them from being merged into one task
+    ranges = read_ranges(archives, range_bytes).repartition(partitions(archives.sparkSession), "path", "start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.schema(
