@@ -220,3 +220,41 @@ def test_pipeline_stages(spark, docs, tmp_path):
             assert len(kept) == sum(d not in bad for d, *_ in contaminated(texts(ODD), ITEMS))
         if name == "source_mix":
             assert all(r.taken > 0 for r in kept)
+
+
+def test_lines_of_long_documents(spark):
+    rng = np.random.default_rng(9)
+    rows = [(k, "\n".join(rng.choice(["Common one", "common TWO ", "", f"own {k}", f"rare {k % 3}"], 400)), None, None) for k in range(14)]
+    rows += [(50, "\n".join(["common two"] * 64 + ["x"] + ["common one"] * 63), None, None), (51, "\n" * 130, None, None)]
+    for keep_first in (False, True):
+        out = drop_common_lines(table_of(spark, rows), keep_first=keep_first, batches=1).collect()
+        assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in out), key=repr) == common_lines(texts(rows), 10, keep_first)
+
+
+def test_word_counts_beyond_packed_numbers(spark):
+    from weekloom.llm.language_model import _blocks, _classes, _counted, _known
+
+    most = 2**31 - 1
+    rows = [((1 << 36) + k, [5, -7, 9 + k], [0, 1, 2], [most, 1, 0]) for k in range(12)]
+    chunks = spark.createDataFrame(rows, "chunk bigint, vocab array<bigint>, form array<int>, counted array<int>")
+    blocks = _blocks(chunks, 3)
+    counted = _counted(blocks, 3)
+    found = {r.chunk: {p: c for x in r.known for p, c in zip(x.pos, x.counts)} for r in _known(blocks, counted, 3).collect()}
+    assert found == {(1 << 36) + k: {0: 12 * most, 1: 12} for k in range(12)} and 12 * most > 2**34
+    classes = _classes(counted)
+    assert (classes.total, classes.distinct, sorted(classes.heads.tolist())) == (12 * most + 12, 2, [-7, 5])
+
+
+def test_many_phrases_take_one_pass_over_the_index(spark, docs, monkeypatch):
+    items = spark.createDataFrame([(k, prose(500 + k)) for k in range(300)] + [(9000, PASSAGE)], "item_id bigint, text string")
+    phrases = phrases_of(items, 10)
+    index = build_index(docs)
+    whole = {tuple(r) for r in decontaminate_module.phrase_matches(index, phrases).collect()}
+    near = {tuple(r) for r in proximity_matches(index, phrases, 30).collect()}
+    monkeypatch.setattr(decontaminate_module, "BLOCK", 5)
+    routed = decontaminate_module.phrase_matches(index, phrases)
+    assert phrases.select("phrase").distinct().count() > 5000
+    plan = routed._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("deltas") and plan.count("MapInArrow") == 1
+    assert {tuple(r) for r in routed.collect()} == whole and whole
+    assert {tuple(r) for r in proximity_matches(index, phrases, 30).collect()} == near

@@ -9,8 +9,9 @@ and no posting list is ever longer than a segment.
 A phrase is looked up from its rarest term in the segment: the places of that
 term, moved by its offset, are the candidates, and the lists of the next rarer
 terms strike candidates out until all terms are matched.  A phrase with a term
-that the segment lacks costs one lookup.  Items are looked up in blocks of a
-bounded number of phrases.
+that the segment lacks costs one lookup.  A bounded number of phrases is known to
+all tasks; more phrases than that are routed to the segments that hold their rarest
+term of the whole corpus.  Either way the index is read once.
 
 Results by case: a null or empty text, or one without words, has no words and
 contains nothing; an item without words finds nothing; equal phrases of several
@@ -28,9 +29,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.llm import ragged
-from weekloom.llm.scratch import fresh, written
+from weekloom.llm.scratch import fresh, partitions, written
 
-#: Phrases (or proximity queries) that are looked up in one pass over the index.
+#: Phrases (or proximity queries) up to which every segment looks up all of them; more
+#: are routed to segments.
 BLOCK = 50_000
 
 SEGMENT = (
@@ -197,53 +199,108 @@ def phrases_of(items: DataFrame, window: int, id_col: str = "item_id", text_col:
     return made.select(key.alias("phrase"), "terms", "item").distinct()
 
 
-def _blocks(queries: DataFrame) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
-    """Distinct phrases in blocks of about BLOCK: keys, terms (padded), sizes."""
-    distinct = written(queries.dropDuplicates(["phrase"]).select("phrase", "terms", F.pmod(F.xxhash64("phrase", F.lit(7)), F.lit(1 << 30)).alias("slot")), "phrases")
-    n_blocks = max(1, -(-distinct.count() // BLOCK))
-    for block in range(n_blocks):
-        rows = distinct.where(F.col("slot") % n_blocks == block).select("phrase", "terms").collect()
-        if rows:
-            size = np.array([len(r.terms) for r in rows])
-            terms = np.zeros((len(rows), size.max()), np.int64)
-            for r, row in zip(terms, rows, strict=True):
-                r[: len(row.terms)] = row.terms
-            yield [r.phrase for r in rows], terms, size
+MATCH = "segment string, row int, phrase string, start int, size int"
+_POSTINGS = ["doc_at", "terms", "term_at", "deltas"]
+
+
+def _padded(terms: list) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of phrases as one matrix, and their sizes."""
+    size = np.array([len(t) for t in terms])
+    out = np.zeros((len(terms), size.max(initial=1)), np.int64)
+    for row, mine in zip(out, terms, strict=True):
+        row[: len(mine)] = mine
+    return out, size
+
+
+def _matches(segment: Segment, name: str, keys: pa.Array, terms: np.ndarray, size: np.ndarray, within: int | None) -> pa.RecordBatch:
+    row, doc, place = segment.phrases(terms, size) if within is None else segment.near(terms, size, within)
+    start = place - segment.doc_at[doc]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([name] * len(row), pa.string()),
+            pa.array(doc, pa.int32()),
+            keys.take(pa.array(row, pa.int64())),
+            pa.array(start, pa.int32()),
+            pa.array(size[row], pa.int32()),
+        ],
+        ["segment", "row", "phrase", "start", "size"],
+    )
 
 
-MATCH = "segment string, row int, phrase string, start int, size int"
+def _numbers(batch: pa.RecordBatch, row: int, *names: str) -> list[np.ndarray]:
+    return [batch.column(batch.schema.get_field_index(n))[row].values.to_numpy(zero_copy_only=False) for n in names]
+
+
+def _search_by_all(index: DataFrame, queries: DataFrame, within: int | None) -> DataFrame:
+    """One pass in which every segment looks up all phrases, at most BLOCK of them."""
+    rows = queries.collect()
+    shared = index.sparkSession.sparkContext.broadcast((pa.array([r.phrase for r in rows], pa.string()), *_padded([r.terms for r in rows])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, terms, size = shared.value
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield _matches(Segment(*_numbers(batch, i, *_POSTINGS)), batch.column(0)[i].as_py(), keys, terms, size, within)
+
+    return index.select("segment", *_POSTINGS).mapInArrow(run, MATCH)
+
+
+def _routed(index: DataFrame, queries: DataFrame) -> DataFrame:
+    """(segment, phrase, terms): each phrase with the segments that hold its rarest term
+    of the whole corpus.  A phrase with a term that no document has goes nowhere."""
+    terms = queries.select("phrase", F.explode(F.array_distinct("terms")).alias("term"))
+    places = F.posexplode("terms").alias("pos", "term")
+    n = F.element_at("term_at", F.col("pos") + 2) - F.element_at("term_at", F.col("pos") + 1)
+    held = index.select("segment", "term_at", places).select("segment", "term", n.cast("bigint").alias("n"))
+    held = written(held.join(terms.select("term").distinct(), "term", "left_semi"), "postings")
+    counts = held.groupBy("term").agg(F.sum("n").alias("n"))
+    known = terms.join(counts, "term", "left").groupBy("phrase").agg(
+        F.min_by("term", F.struct("n", "term")).alias("term"), F.bool_and(F.col("n").isNotNull()).alias("everywhere")
+    )
+    rarest = known.where("everywhere").select("phrase", "term")
+    return rarest.join(held.select("segment", "term"), "term").join(queries, "phrase").select("segment", "phrase", "terms")
+
+
+def _search_by_route(index: DataFrame, queries: DataFrame, within: int | None) -> DataFrame:
+    """One pass in which a segment looks up the phrases that are routed to it; they
+    follow the segment's row in its task, so no task holds more than a batch of them."""
+    none = F.lit(None)
+    here = index.select("segment", F.lit(0).alias("role"), *_POSTINGS, none.cast("string").alias("phrase"))
+    asked = _routed(index, queries).select(
+        "segment", F.lit(1).alias("role"), none.cast("array<int>").alias("doc_at"), "terms",
+        none.cast("array<int>").alias("term_at"), none.cast("array<int>").alias("deltas"), "phrase",
+    )
+    dealt = here.unionByName(asked).repartition(partitions(index.sparkSession), "segment").sortWithinPartitions("segment", "role")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, segment = None, None
+        for batch in batches:
+            names, roles = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            phrases, terms = batch.column(6), batch.column(3)
+            i = 0
+            while i < batch.num_rows:
+                if roles[i] == 0:
+                    name, segment = names[i], Segment(*_numbers(batch, i, *_POSTINGS))
+                    i += 1
+                    continue
+                end = i
+                while end < batch.num_rows and roles[end] == 1 and names[end] == names[i]:
+                    end += 1
+                if names[i] == name:
+                    mine = [terms[k].values.to_numpy() for k in range(i, end)]
+                    yield _matches(segment, name, phrases.slice(i, end - i), *_padded(mine), within)
+                i = end
+
+    return dealt.mapInArrow(run, MATCH)
 
 
 def _search(index: DataFrame, queries: DataFrame, within: int | None) -> DataFrame:
-    spark, found = index.sparkSession, None
-    for names, terms, size in _blocks(queries):
-        shared = spark.sparkContext.broadcast((pa.array(names), terms, size))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            keys, terms, size = shared.value
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    parts = [batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in range(1, 5)]
-                    segment = Segment(*parts)
-                    if within is None:
-                        row, doc, place = segment.phrases(terms, size)
-                    else:
-                        row, doc, place = segment.near(terms, size, within)
-                    start = place - segment.doc_at[doc]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([batch.column(0)[i].as_py()] * len(row), pa.string()),
-                            pa.array(doc, pa.int32()),
-                            keys.take(pa.array(row, pa.int64())),
-                            pa.array(start, pa.int32()),
-                            pa.array(size[row], pa.int32()),
-                        ],
-                        ["segment", "row", "phrase", "start", "size"],
-                    )
-
-        hits = index.select("segment", "doc_at", "terms", "term_at", "deltas").mapInArrow(run, MATCH)
-        found = hits if found is None else found.union(hits)
-    return found if found is not None else spark.createDataFrame([], MATCH)
+    """All matches of the distinct phrases in one pass over the index."""
+    distinct = written(queries.dropDuplicates(["phrase"]).select("phrase", "terms"), "phrases")
+    n = distinct.count()
+    if not n:
+        return index.sparkSession.createDataFrame([], MATCH)
+    return (_search_by_all if n <= BLOCK else _search_by_route)(index, distinct, within)
 
 
 def phrase_matches(index: DataFrame, phrases: DataFrame) -> DataFrame:
