@@ -41,11 +41,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: computed once, safe from
-    lost executors, and of a size that Catalyst knows."""
+def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: computed once, no lineage
+    above it, safe from lost executors, and of a size that Catalyst knows."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
