@@ -16,7 +16,9 @@ term of the whole corpus.  Either way the index is read once.
 Results by case: a null or empty text, or one without words, has no words and
 contains nothing; an item without words finds nothing; equal phrases of several
 items are looked up once and count for each; a null item_id is left out; repeated
-rows each get their own result.
+rows each get their own result; an empty table gives no rows; only the id and text
+columns are read (``clean_of`` carries the others along under any name); a long text is
+a segment of its own.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ and text; votes and estimates cover all rows.
 
 Results by case: a text without words (null, empty) has score 0 and is rejected;
 repeated rows get equal scores; a null id is passed on; an empty table gives no
-rows.
+rows; a score equal to the cut is kept; only the id and text columns are read
+(``good_rows`` carries the others along under any name); long texts are read whole.
 """
 
 from __future__ import annotations

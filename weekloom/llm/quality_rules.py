@@ -14,7 +14,9 @@ does not reject.
 Results by case: a null or empty text has no words and fails the base rules; a
 null stratum is a stratum of its own; strata without labels get no cutoffs;
 labels without document, repeated or null, count once or not at all (a document
-is good if any of its labels says so).
+is good if any of its labels says so); a value equal to a cutoff is kept; repeated rows
+are judged each; an empty table gives no rows; only the named columns are read, so others
+may have any name; long texts are read whole.
 """
 
 from __future__ import annotations

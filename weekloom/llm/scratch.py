@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekloom.session import scratch_path
+from weekloom.session import stored as written  # noqa: F401  (the name used by the operators)
 
 #: white space of the word rules, for SQL functions
 SPACES_SQL = "\\x20\\x09-\\x0D"
@@ -16,16 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """``df`` written below spark.checkpoint.dir and read again: computed once,
-    no lineage above it, and safe from the loss of an executor."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
-    """``written``, as an unmanaged table in buckets of ``key``: later joins on it
+    """As ``written``, as an unmanaged table in buckets of ``key``: later joins on it
     move the other side only."""
     path, n = scratch_path(df.sparkSession, name), partitions(df.sparkSession)
     table_name = path.rsplit("/", 1)[1].replace("-", "_")

@@ -9,7 +9,9 @@ candidates are added to the spans as kind ``owned``; spans of the patterns stay.
 
 Results by case: a null or empty text has no spans; a null owner is an owner of
 its own; values that repeat inside a document count it once; rows of the same id
-(null is one id) count as one document, and each has its spans; offsets are in code points, ends exclusive.
+(null is one id) count as one document, and each has its spans; offsets are in code
+points, ends exclusive; an empty table gives no rows; only the id, text and owner columns
+are read, so others may have any name; long texts are read whole.
 """
 
 from __future__ import annotations

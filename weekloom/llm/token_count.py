@@ -6,7 +6,8 @@ each row is merged wherever it stands in that row, all rows at once, until no
 row has a known pair.  The symbols that survive are the tokens.
 
 Results by case: a null or empty text has no tokens; a null id is passed on;
-repeated rows count each by itself; texts of any length are read whole.
+repeated rows count each by itself; texts of any length are read whole; an empty table
+gives no rows; only the id and text columns are read, so others may have any name.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ are revisits that name it.
 Results by case: a null payload is empty; a null id is no one's reference (if all
 ids of a payload are null, all its records are responses); rows that repeat the
 smallest id are all responses; a null address gives a record without target; an
-empty table gives no archive and no rows.
+empty table gives no archive and no rows; only the id, address and payload columns are
+read, so others may have any name; a long payload is held whole by one task.
 """
 
 from __future__ import annotations
