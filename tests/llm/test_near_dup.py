@@ -1,11 +1,13 @@
 import random
 
+from pyspark.sql import functions as F
+
 import weekloom.llm.near_dup as near_dup_module
 from weekloom.llm.components import components
 from weekloom.llm.near_dup import Shape, near_duplicates, one_of_each
 from weekloom.llm.queries import QUERIES
 from tests.conftest import SMALL
-from tests.llm.brute import near_dup
+from tests.llm.brute import near_dup, shingles
 
 SCHEMA = "doc_id bigint, text string, kept string, component_id string"
 
@@ -73,13 +75,31 @@ def test_one_of_each_keeps_columns_and_one_row(spark):
     rows = varied()
     left = one_of_each(frame(spark, rows))
     assert left.columns == ["doc_id", "text", "kept", "component_id"]
-    want = sorted({(d, c) for d, n, c, kept in near_dup(rows, 5) if kept and n and d is not None})
+    named = {d for d, n, c, kept in near_dup(rows, 5) if kept and n and d is not None}
+    want = sorted(d for d, _ in {(d, shingles(t, 5)) for d, t in rows if d in named})  # different texts of one id are not linked here
     ids = [r.doc_id for r in left.collect() if r.doc_id is not None and (r.text or "").strip()]
-    assert sorted(ids) == [d for d, _ in want]
+    assert sorted(ids) == want and want.count(5) == 2
     assert sum(r.doc_id is None for r in left.collect()) == 1
     assert sum(not (r.text or "").strip() for r in left.collect()) == 3
 
 
+def test_unlinked_texts_of_one_id_all_stay(spark):
+    rows = [(1, "one text about rivers and hills and more"), (1, "another one on ships that sail the sea"), (1, "a third of quite other words altogether here")]
+    rows += [(2, rows[0][1]), (1, rows[0][1])]
+    assert sorted(r.text for r in one_of_each(frame(spark, rows)).collect()) == sorted(t for _, t in rows[:3])
+
+
+def test_a_stranger_in_a_large_bucket_ships_each_text_once(spark):
+    members = spark.range(5000).select(
+        F.lit(1).alias("key"), F.col("id").cast("string").cast("binary").alias("node"), F.lit(5000).alias("m"), F.lit(20).alias("n"),
+        F.when(F.col("id") == 7, F.lit(b"b")).otherwise(F.lit(b"a")).alias("label"),
+    )
+    units = near_dup_module._units(members)
+    assert units.count() == 5000 + 5000 // near_dup_module.UNIT
+    long = near_dup_module._units(members.withColumn("n", F.lit(near_dup_module.UNIT_SHINGLES // 100)))
+    assert long.groupBy("key", "i", "j").count().agg(F.max("count")).first()[0] < 2 * 100
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, i) for i in range(101, 140)]
     found = {r.u: r.v for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

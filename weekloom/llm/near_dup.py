@@ -12,7 +12,9 @@ pair by pair in small buckets, in units of bounded size in large ones.  Equal se
 Results by case: a row without words or text has an empty set, links with
 nothing and is its own component; a row without id is linked with nothing and
 has no component; rows that repeat an id each carry the component of their own
-text; equal sets always link.
+text; equal sets always link; an empty table has no rows; only the id and text columns
+are read (``one_of_each`` carries the others along under any name); a long text is held
+with its set of shingles by one task.
 """
 
 from __future__ import annotations
@@ -35,8 +37,9 @@ from weekloom.llm.scratch import SPACE_CHARS, fresh, partitions, written
 MEMBERS_PER_TASK = 2000
 #: Pairs of still unconnected members are written out for buckets up to this size.
 FEW = 12
-#: Members in a block of a larger bucket.
+#: Members in a block of a larger bucket, and shingles of all its sets.
 UNIT = 500
+UNIT_SHINGLES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -167,22 +170,49 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
     return spread.sortWithinPartitions("lead", "part", "role").mapInArrow(run, "lead binary, node binary")
 
 
-def _linked_in_units(members: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
-    """Links (lead, node) between components inside large buckets.
+def _units(members: DataFrame) -> DataFrame:
+    """(key, i, j, role, node, label): the members of large buckets, dealt into units.
 
-    The members of a bucket are dealt into blocks, and every two blocks meet in a
-    unit of bounded size.  A unit counts the shingles that a member shares with all
-    others through a list of owners of each shingle, and returns only links that
-    join parts which were still apart in it, fewer than it has members.
+    Only members outside the largest component of a bucket have links to find
+    (role 0).  They are dealt into blocks, and so are all members (role 1); every
+    block of the few meets every block of all in a unit, so a bucket ships each text
+    about as often as its few fill blocks.  Blocks are bounded in members and in
+    shingles.
     """
-    blocks = F.ceil(F.col("m") / UNIT).cast("int")
-    dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    units = dealt.select(
-        "key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node", "label"
-    ).join(texts, "node")
+    shares = members.groupBy("key", "label").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    full = shares.groupBy("key").agg(
+        F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("all_c"), F.sum("s").alias("all_s"),
+        F.max(F.struct("c", "s")).alias("most"),
+    )
+
+    def blocks(count: F.Column, size: F.Column) -> F.Column:
+        return F.greatest(F.lit(1), F.ceil(count / UNIT), F.ceil(size / UNIT_SHINGLES)).cast("int")
+
+    sized = full.select(
+        "key", "main", blocks(F.col("all_c"), F.col("all_s")).alias("all_blocks"),
+        blocks(F.col("all_c") - F.col("most.c"), F.greatest(F.lit(0), F.col("all_s") - F.col("most.s"))).alias("few_blocks"),
+    )
+    dealt = members.join(sized, "key")
+
+    def block(n: str) -> F.Column:
+        return F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+
+    def every(n: str) -> F.Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    few = dealt.where("label <> main").select("key", block("few_blocks").alias("i"), every("all_blocks").alias("j"), F.lit(0).alias("role"), "node", "label")
+    all_ = dealt.select("key", every("few_blocks").alias("i"), block("all_blocks").alias("j"), F.lit(1).alias("role"), "node", "label")
+    return few.unionByName(all_)
+
+
+def _linked_in_units(members: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
+    """Links (lead, node) between components inside large buckets.  A unit counts the
+    shingles that a member shares with all others through a list of owners of each
+    shingle, and returns only links that join parts which were still apart in it,
+    fewer than it has members."""
+    units = _units(members).join(texts, "node")
     order = ["key", "i", "j"]
-    spread = units.select(*order, "block", "node", "label", "text").repartition(partitions(members.sparkSession), *order)
+    spread = units.select(*order, "role", "node", "label", "text").repartition(partitions(members.sparkSession), *order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker, now, rows = Sketcher(shape), None, []
@@ -191,26 +221,26 @@ def _linked_in_units(members: DataFrame, texts: DataFrame, shape: Shape) -> Data
                 columns = [part.column(i).to_pylist() for i in range(6)]
                 for i, (row, shingles) in enumerate(zip(zip(*columns, strict=True), maker.sets(texts), strict=True)):
                     if row[:3] != now:
-                        yield _unit_links(rows, now, shape)
+                        yield _unit_links(rows, shape)
                         now, rows = row[:3], []
                     if np.array(maker.fingerprint(shingles), np.uint64).tobytes() == row[4]:
                         rows.append((*row[3:], shingles))
-        yield _unit_links(rows, now, shape)
+        yield _unit_links(rows, shape)
 
     return spread.sortWithinPartitions(*order).mapInArrow(run, "lead binary, node binary")
 
 
-def _unit_links(rows: list[tuple[int, bytes, bytes, np.ndarray]], unit: tuple | None, shape: Shape) -> pa.RecordBatch:
-    """``rows`` are (block, node, label, set) of one unit (key, i, j)."""
+def _unit_links(rows: list[tuple[int, bytes, bytes, np.ndarray]], shape: Shape) -> pa.RecordBatch:
+    """``rows`` are (role, node, label, set) of one unit; those of role 0 look for links
+    to those of role 1."""
     found: list[tuple[bytes, bytes]] = []
     labels = [r[2] for r in rows]
-    common = max(set(labels), key=labels.count) if labels else None
-    others = [k for k, x in enumerate(labels) if x != common]
+    others = [k for k, r in enumerate(rows) if r[0] == 0]
     if others:
         number = {x: k for k, x in enumerate(dict.fromkeys(labels))}
         part = np.array([number[x] for x in labels])
         size = np.array([len(r[3]) for r in rows])
-        block = np.array([r[0] for r in rows])
+        to = np.array([r[0] == 1 for r in rows])
         shingles, inverse = np.unique(np.concatenate([r[3] for r in rows]), return_inverse=True)
         order = np.argsort(inverse, kind="stable")
         owners = np.repeat(np.arange(len(rows)), size)[order]
@@ -222,9 +252,7 @@ def _unit_links(rows: list[tuple[int, bytes, bytes, np.ndarray]], unit: tuple |
             n = count[mine]
             places = np.repeat(first[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
             both = np.bincount(owners[places], minlength=len(rows))
-            near = (100 * both >= shape.percent * (size + size[k] - both)) & (part != part[k])
-            if unit[1] != unit[2]:
-                near &= block != block[k]
+            near = (100 * both >= shape.percent * (size + size[k] - both)) & (part != part[k]) & to
             for v in np.flatnonzero(near):
                 if part[v] != part[k]:
                     found.append((rows[k][1], rows[v][1]))
@@ -239,7 +267,8 @@ def _mark(text_col: str) -> F.Column:
 
 
 def _assigned(docs: DataFrame, id_col: str, text_col: str, shape: Shape) -> DataFrame:
-    """(id, mark, n, component, kept) of every row."""
+    """(id, mark, n, component, label, kept) of every row; rows of one id can be in
+    several components, which ``label`` tells apart."""
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     source = source.withColumn("mark", _mark("text"))
     sketch = written(_sketch(source, shape), "sketch")
@@ -283,8 +312,10 @@ def _assigned(docs: DataFrame, id_col: str, text_col: str, shape: Shape) -> Data
     least = joined.groupBy("label").agg(F.min("rep").alias("component"))
     ends = roots.select(F.col("v").alias("node")).union(roots.select(F.col("u").alias("node"))).distinct()
     linked = classes.where("copies > 1").select("node").union(ends).distinct()
-    component = joined.join(linked, "node", "left_semi").join(least, "label").select("node", "component")
-    result = sketch.join(component, "node", "left").select("id", "mark", "n", F.coalesce("component", "id").alias("component"))
+    component = joined.join(linked, "node", "left_semi").join(least, "label").select("node", "component", "label")
+    result = sketch.join(component, "node", "left").select(
+        "id", "mark", "n", F.coalesce("component", "id").alias("component"), F.coalesce("label", "node").alias("label")
+    )
     return result.withColumn("kept", F.coalesce(F.col("id") == F.col("component"), F.lit(True)))
 
 
@@ -303,13 +334,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shape: Shape | None = None) -> DataFrame:
-    """The rows of ``docs`` with one document of each component; of rows that
-    share its id, one stays.  Rows without words or id all stay."""
+    """The rows of ``docs`` with one document of each component: one with the
+    component's id, where that id names several.  Rows without words or id all stay."""
     found = _assigned(docs, id_col, text_col, shape or Shape())
     mine, mark, order = fresh(docs, "id"), fresh(docs, "mark"), fresh(docs, "order")
-    stay = found.where("kept and n > 0 and id is not null").groupBy(F.col("id").alias(mine)).agg(F.min("mark").alias(mark))
+    stay = found.where("kept and n > 0 and id is not null").groupBy(F.col("id").alias(mine), "label").agg(F.min("mark").alias(mark)).drop("label")
     id_, own = F.col(f"`{id_col}`"), _mark(text_col)
     free = id_.isNull() | (F.btrim(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.lit(SPACE_CHARS)) == "")
-    rows = docs.join(stay, id_ == F.col(mine), "left").where(free | (F.col(mark) == own))
+    rows = docs.join(stay.distinct(), (id_ == F.col(mine)) & (own == F.col(mark)), "left").where(free | F.col(mark).isNotNull())
     once = F.row_number().over(Window.partitionBy(id_, own).orderBy(F.lit(1)))
     return rows.withColumn(order, once).where(free | (F.col(order) == 1)).drop(mine, mark, order)
