@@ -260,3 +260,19 @@ from nodes n join below b on n.node = b.node left join kids k on n.node = k.node
 def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return made.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op11_suffix_dedup"] = """
+with docs as (
+  select doc_id, row_number() over () as rid, octet_length(encode(coalesce(text, ''))) as n, hex(encode(coalesce(text, ''))) as h from documents),
+windows as (select rid, pos, md5(substring(h, 2 * pos + 1, 800)) as w from (select rid, h, unnest(range(n - 399)) as pos from docs where n >= 400)),
+repeats as (select rid, pos from windows qualify count(*) over (partition by w) > 1),
+placed as (select rid, pos, lag(pos) over (partition by rid order by pos) as before, lead(pos) over (partition by rid order by pos) as after from repeats),
+pieces as (
+  select p.rid, sum(least(400, coalesce(after - pos, 400))) as removed, count(*) filter (where before is null or pos - before > 400) as spans,
+         string_agg(substring(h, 2 * coalesce(before + 400, 0) + 1, 2 * (pos - coalesce(before + 400, 0))), '' order by pos)
+           filter (where before is null or pos - before > 400) || substring(min(h), 2 * (max(pos) + 400) + 1) as kept
+  from placed p join docs d on p.rid = d.rid group by p.rid)
+select doc_id, n::bigint as n_bytes, coalesce(removed, 0)::bigint as n_removed, coalesce(spans, 0)::bigint as n_spans,
+       sha256(unhex(coalesce(kept, h))) as kept_sha256
+from docs d left join pieces p on d.rid = p.rid"""
