@@ -27,9 +27,9 @@ from weekloom.sources.writers import write_per_group, write_table
 
 @query(
     "read_csv_chart",
-    "Position:i Song~Title:s Artists:s Peak~Position:s Streams:i Date:s",
-    f"""WITH {RAW_SQL} SELECT "Position", nullif("Song Title", '') AS "Song Title", "Artists",
-        "Peak Position", "Streams", "Date" FROM raw""",
+    "Position:i Song~Title:s Artists:s Last~Week:s Peak~Position:s Weeks~on~Chart:s Streams:i Date:s",
+    f"""WITH {RAW_SQL} SELECT "Position", nullif("Song Title", '') AS "Song Title", "Artists", "Last Week",
+        "Peak Position", "Weeks on Chart", "Streams", "Date" FROM raw""",
 )
 def _read_csv_chart(spark, d):
     path = scratch_path(spark, "chart-csv")

@@ -84,22 +84,22 @@ def _holdout_last_n(spark, d):
     return marked.withColumn("is_test", F.col("is_test").cast("int"))
 
 
-_GATES = ("naive", "prophet", "rf", "lgbm")
-_NEEDS = {"naive": 9, "prophet": 60, "rf": 13, "lgbm": 12}
+_GATES = {"naive": 0, "prophet": 0, "rf": 0, "lgbm": 0, "sarima": 0, "ma": 4}  # and the window of the moving average
+_NEEDS = {"naive": 9, "prophet": 60, "rf": 13, "lgbm": 12, "sarima": 112, "ma": 12}
 
 
 @query(
     "min_history_gate",
     "family:s artist:s song:s n:i",
-    f"""WITH {WEEKLY_SQL}, lengths AS (SELECT artist, song, count(*) - 20 AS n FROM weekly GROUP BY ALL)
+    f"""WITH {WEEKLY_SQL}, lengths AS (SELECT artist, song, 4 * count(*) - 80 AS n FROM weekly GROUP BY ALL)
         """
     + " UNION ALL ".join(
         f"SELECT '{g}' AS family, artist, song, n FROM lengths WHERE n >= {_NEEDS[g]}" for g in _GATES
     ),
 )
 def _min_history_gate(spark, d):
-    lengths = weekly_tracks(spark, d).groupBy(*SERIES).agg((F.count(F.lit(1)) - 20).alias("n"))
-    kept = [min_history_gate(lengths, g).withColumn("family", F.lit(g)) for g in _GATES]
+    lengths = weekly_tracks(spark, d).groupBy(*SERIES).agg((4 * F.count(F.lit(1)) - 80).alias("n"))
+    kept = [min_history_gate(lengths, g, extra=extra).withColumn("family", F.lit(g)) for g, extra in _GATES.items()]
     out = kept[0]
     for part in kept[1:]:
         out = out.unionByName(part)
