@@ -132,8 +132,9 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
-def _matrix(rows: list[list[Column]]) -> Column:
-    return F.array(*[F.array(*row) for row in rows])
+def _matrix(rows: list[list[str]]) -> Column:
+    """Rows of SQL expressions; one parsed text, since a call for each cell is slow to build."""
+    return F.expr("array(" + ", ".join("array(" + ", ".join(row) + ")" for row in rows) + ")")
 
 
 def solved(augmented: Column) -> Column:
@@ -188,29 +189,28 @@ def seasonal_ar(
     parts += [F.col("_known") * F.coalesce(F.col(f"x{k}"), F.lit(0.0)) for k in far] + [F.col("_known"), F.lit(1.0)]
     lags = lags.withColumn("v", F.array(*parts))
     history = w.rowsBetween(Window.unboundedPreceding, -1)
-    in_ar = F.col("rn") - 4 > F.col("d")
-    in_arma = F.col("rn") > season + 1
+    in_ar, in_arma = "rn - 4 > d", f"rn > {season + 1}"
     ar = [1, 2, 3, 4, 13, 0]
     pairs = [(i, j) for i in range(14) for j in range(i, 14)]
 
-    def running(name: str, use: Column, i: int, j: int) -> Column:
-        return F.sum(F.when(use, F.col("v")[i] * F.col("v")[j])).over(history).alias(f"{name}_{i}_{j}")
+    def running(name: str, use: str, i: int, j: int) -> Column:
+        return F.expr(f"sum(CASE WHEN {use} THEN v[{i}] * v[{j}] END)").over(history).alias(f"{name}_{i}_{j}")
 
     sums = [running("a", in_ar, *sorted((i, j))) for k, i in enumerate(ar) for j in ar[k:]] + [running("w", in_arma, i, j) for i, j in pairs]
-    steps = lags.select(*keys, date, "d", "rn", "is_test", "_y", "_before", "v", F.count_if(in_arma).over(history).alias("m"), *sums).filter("is_test")
+    steps = lags.select(*keys, date, "d", "rn", "is_test", "_y", "_before", "v", F.count_if(F.expr(in_arma)).over(history).alias("m"), *sums).filter("is_test")
 
-    def cell(name: str, i: int, j: int) -> Column:
-        return F.col(f"{name}_{min(i, j)}_{max(i, j)}")
+    def cell(name: str, i: int, j: int) -> str:
+        return f"{name}_{min(i, j)}_{max(i, j)}"
 
     system = _matrix([[cell("a", i, j) for j in ar] for i in ar[:-1]])
     steps = steps.withColumns({"b": solved(system), "sums": _matrix([[cell("w", i, j) for j in range(14)] for i in range(14)])})
-    zero, one, b = F.lit(0.0), F.lit(1.0), [F.get("b", F.lit(k)) for k in range(5)]
+    one, b = "1D", [f"-get(b, {k})" for k in range(5)]
 
-    def row(**at: Column) -> list[Column]:
-        return [at.get(f"i{k}", zero) for k in range(14)]
+    def row(**at: str) -> list[str]:
+        return [at.get(f"i{k}", "0D") for k in range(14)]
 
-    shock = row(i1=one, i2=-b[0], i3=-b[1], i4=-b[2], i5=-b[3], i13=-b[4])
-    old_shock = row(i7=one, i8=-b[0], i9=-b[1], i10=-b[2], i11=-b[3], i12=-b[4])
+    shock = row(i1=one, i2=b[0], i3=b[1], i4=b[2], i5=b[3], i13=b[4])
+    old_shock = row(i7=one, i8=b[0], i9=b[1], i10=b[2], i11=b[3], i12=b[4])
     terms = _matrix([row(i1=one), row(i2=one), row(i6=one), shock, old_shock, row(i13=one), row(i0=one)])
     steps = steps.withColumn("terms", terms)
     half = F.transform("terms", lambda t: F.transform("sums", lambda s: _dot(s, t)))
@@ -218,8 +218,10 @@ def seasonal_ar(
     steps = steps.select(*keys, date, "d", "_y", "_before", "m", "full", F.transform("terms", lambda t: _dot(t, F.col("v"))).alias("now"))
 
     orders = arma_orders()
-    listed = F.array(*[F.struct(F.lit(k).alias("k"), F.array(*map(F.lit, t)).cast("array<int>").alias("terms"), F.lit(text).alias("text")) for k, (t, text) in enumerate(orders)])
-    fits = steps.select("*", F.inline(listed))
+    texts = [f"named_struct('k', {k}, 'terms', cast(array({', '.join(map(str, t))}) AS array<int>), 'text', '{text}')" for k, (t, text) in enumerate(orders)]
+    listed = F.expr("array(" + ", ".join(texts) + ")")
+    # few rows that cost much: dealt to all tasks before they become one for each order
+    fits = spread(steps, F.xxhash64(*keys, date, "d")).select("*", F.inline(listed))
     last = len(_TERMS)
     system = F.transform("terms", lambda i: F.concat(F.transform("terms", lambda j: F.get(F.get("full", i), j)), F.array(F.get(F.get("full", i), F.lit(last)))))
     fits = fits.withColumn("beta", solved(system))
