@@ -61,3 +61,11 @@ def test_query_against_brute_force(spark):
     out = QUERIES["op7_secret_scan"](spark, SMALL).collect()
     assert {r.doc_id: (r.base_sha256, r.spans) for r in out} == want
     assert all(r.n_assign + r.n_access + r.n_hex == sum(s[:5] not in ("", "owned") for s in r.spans.split(",")) for r in out)
+
+
+def test_query_counts_each_kind(spark, tmp_path):
+    docs = [(d, o, t) for d, o, t in ROWS]
+    spark.createDataFrame(docs, "doc_id bigint, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = QUERIES["op7_secret_scan"](spark, str(tmp_path)).collect()
+    want = [(d, *(f",{b}".count(f",{kind}:") for kind in ("assign", "access", "hex"))) for d, b, _ in secrets(ROWS)]
+    assert sorted(((r.doc_id, r.n_assign, r.n_access, r.n_hex) for r in out), key=repr) == sorted(want, key=repr)
