@@ -187,3 +187,18 @@ def test_registered_queries_run_the_whole_search(spark, name, family):
     drawn = [trees._described(p) for p in draw_parameters(FAMILIES[family].ranges, 10)]
     assert set(got.best_params) <= set(drawn) | {trees._described(FAMILIES[family].default)}
     assert got.predicted.notna().all()
+
+
+def test_histograms_only_where_a_split_is_allowed(monkeypatch):
+    """A node with fewer rows than a split needs, or than two leaves, takes no cells."""
+    rng = np.random.default_rng(3)
+    looked, bincount = [], np.bincount
+    monkeypatch.setattr(trees.np, "bincount", lambda x, *a, **k: looked.append(len(x)) or bincount(x, *a, **k))
+    bins, n = rng.integers(0, 8, (60, 5)), 60
+    row, tree = np.tile(np.arange(n), 3), np.repeat(np.arange(3), n)
+    fits = [trees.Fit(0, n, n, {"leaf": leaf, "split": split}) for leaf, split in ((31, 2), (1, 61), (10, 20))]
+    may = trees.Trees(**trees._limits(fits, 5))
+    open_ = np.ones(3, bool)
+    gain, _, _ = trees._best_splits(bins, row, tree, np.ones(3 * n), rng.normal(size=n)[row], 3, 8, np.arange(3), may, open_)
+    assert gain[0] == gain[1] == 0 and gain[2] > 0
+    assert max(looked) == n * 5

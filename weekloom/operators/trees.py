@@ -46,8 +46,8 @@ SEED = 42
 
 #: Rows of all trees that grow in step; bounds a worker to some 200 MB.
 ENTRIES = 1 << 17
-#: Cells of one histogram that are looked at together.
-CELLS = 1 << 21
+#: Cells of one histogram that are looked at together; a few arrays of so many stay in a core's cache.
+CELLS = 1 << 15
 #: Most bins of a feature.
 BINS = 32
 
@@ -102,36 +102,59 @@ def _best_splits(
     """(gain, feature, last bin of the left side) of every node 0 to n_nodes - 1, by
     one aggregation over (node, feature, bin); a gain of 0 is no split."""
     n_features = bins.shape[1]
+    width = n_features * n_bins
     gain, feature, cut = np.zeros(n_nodes), np.zeros(n_nodes, np.int64), np.zeros(n_nodes, np.int64)
-    block = max(1, CELLS // (n_features * n_bins))
-    order = np.argsort(node, kind="stable")
-    bounds = np.searchsorted(node[order], np.arange(0, n_nodes + block, block))
-    offsets = np.arange(n_features) * n_bins
-    for k, first in enumerate(range(0, n_nodes, block)):
-        mine, last = order[bounds[k] : bounds[k + 1]], min(first + block, n_nodes)
-        size = (last - first) * n_features * n_bins
-        cell = ((node[mine] - first) * (n_features * n_bins))[:, None] + offsets + bins[row[mine]]
+    rows_of = np.bincount(node, minlength=n_nodes)
+    able = open_ & (rows_of >= np.maximum(may.split[tree], 2 * may.leaf[tree]))  # the others need no histogram
+    asked = np.flatnonzero(able)
+    number = np.cumsum(able) - 1
+    order = np.flatnonzero(able[node])
+    order = order[np.argsort(node[order], kind="stable")]
+    place = number[node[order]]
+    block = max(1, CELLS // width)
+    bounds = np.searchsorted(place, np.arange(0, len(asked) + block, block))
+    shifted = bins + np.arange(n_features) * n_bins
+    for k, first in enumerate(range(0, len(asked), block)):
+        nodes = asked[first : first + block]
+        here = slice(bounds[k], bounds[k + 1])
+        mine, size = order[here], len(nodes) * width
+        cell = shifted[row[mine]]
+        cell += ((place[here] - first) * width)[:, None]
         cell = cell.ravel()
 
-        def summed(values: np.ndarray | None) -> np.ndarray:
-            flat = np.bincount(cell, None if values is None else np.repeat(values, n_features), size)
-            return flat.reshape(last - first, n_features, n_bins).cumsum(axis=2)
-
-        count, total = summed(None), summed((weight * target)[mine])
-        mass = count if (weight[mine] == 1).all() else summed(weight[mine])
-        t = tree[first:last]
-        alpha, ridge, leaf = (x[t][:, None, None] for x in (may.alpha, may.ridge, may.leaf))
-        all_n, all_total, all_mass = count[:, :, -1:], total[:, :, -1:], mass[:, :, -1:]
-        value = _strength(total, mass, alpha, ridge) + _strength(all_total - total, all_mass - mass, alpha, ridge)
-        value -= _strength(all_total, all_mass, alpha, ridge)
-        allowed = (count >= leaf) & (all_n - count >= leaf) & (all_n >= may.split[t][:, None, None])
-        allowed &= may.columns[t][:, :, None] & open_[first:last, None, None]
-        value[~allowed] = 0.0
-        flat = value.reshape(last - first, -1)
+        def summed(values: np.ndarray, cell=cell, size=size) -> np.ndarray:
+            flat = np.bincount(cell, np.repeat(values, n_features), size).reshape(-1, n_bins)
+            return np.cumsum(flat, axis=1, out=flat)
+
+        t = tree[nodes]
+        held = np.bincount(cell, None, size).reshape(len(nodes), n_features, n_bins)
+        count = held.cumsum(axis=2)
+        leaf = may.leaf[t][:, None, None]
+        # a cut behind a bin without rows is that before it
+        allowed = (held > 0) & (count >= leaf) & (count <= rows_of[nodes][:, None, None] - leaf) & may.columns[t][:, :, None]
+        at = np.flatnonzero(allowed)
+        if not len(at):
+            continue
+        weights = weight[mine]
+        total = summed(weights * target[mine])
+        mass = count.reshape(-1, n_bins) if (weights == 1).all() else summed(weights)
+        owner, pair = at // width, at // n_bins
+        alpha, ridge = may.alpha[t], may.ridge[t]
+        whole = _strength(total[:, -1], mass[:, -1], np.repeat(alpha, n_features), np.repeat(ridge, n_features))
+        alpha, ridge = alpha[owner], ridge[owner]
+        left, left_mass = total.ravel()[at], mass.ravel()[at]
+        value = _strength(left, left_mass, alpha, ridge)
+        value += _strength(total[:, -1][pair] - left, mass[:, -1][pair] - left_mass, alpha, ridge)
+        value -= whole[pair]
+        starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        most = np.maximum.reduceat(value, starts)
         # of splits that differ by rounding only, the first feature and bin
-        best = (flat >= flat.max(axis=1, keepdims=True) * (1 - 1e-9)).argmax(axis=1)
-        gain[first:last] = flat[np.arange(last - first), best]
-        feature[first:last], cut[first:last] = best // n_bins, best % n_bins
+        least = np.where(most > 0, most * (1 - 1e-9), most)
+        near = np.flatnonzero(value >= np.repeat(least, np.diff(np.append(starts, len(at)))))
+        best = near[np.searchsorted(near, starts)]
+        found = nodes[owner[starts]]
+        gain[found] = value[best]
+        feature[found], cut[found] = at[best] % width // n_bins, at[best] % n_bins
     gain[gain < 1e-9] = 0.0
     return gain, feature, cut
 
