@@ -1,6 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from tests.conftest import SMALL
 from weekloom.functions import labels, numbers, text
 
 TIDY_CASES = [
@@ -57,3 +61,16 @@ def test_numbers(spark):
     assert [r[0] for r in text_numbers.select(numbers.to_number(F.col("s"))).collect()] == [1.5, None, None, None]
     probs = spark.createDataFrame([(0.5,), (0.51,), (None,)], "p double")
     assert [r[0] for r in probs.select(numbers.binarize(F.col("p"))).collect()] == [0, 1, None]
+
+
+def test_names_without_patterns_are_cleaned_alike(spark):
+    rng = random.Random(4)
+    parts = ["a", "B c", " ", "  ", '"', '""', "'", "“", "(x)", "[y]", "feat.", "FEAT. z", "\n", "\t", "\x1c", "\u2003", ".", ",", "é"]
+    rows = [("".join(rng.choice(parts) for _ in range(rng.randrange(7))),) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "s string").withColumn("tidy", text.tidy(F.col("s"))).withColumn("full", text._cleaned_up(F.col("s")))
+    assert df.where("tidy is distinct from full").collect() == []
+
+
+def test_names_are_cleaned_once(spark):
+    plan = entry.queries()["drop_empty_keys"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("feat") - plan.count("(feat. ") <= 2  # one for titles, one for artists

@@ -2,6 +2,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weekloom.functions.text import primary_artist, tidy
+from weekloom.operators.columns import computed_once
 from weekloom.operators.rows import (
     complete_case,
     count_all_null_rows,
@@ -34,9 +35,8 @@ def _drop_bad_dates(spark, d):
     f'WITH {CLEAN_SQL} SELECT artist, song, "Streams" FROM keyed',
 )
 def _drop_empty_keys(spark, d):
-    named = drop_bad_dates(raw_chart(spark, d), "Date").select(
-        primary_artist(tidy(F.col("Artists"))).alias("artist"), tidy(F.col("Song Title")).alias("song"), "Streams"
-    )
+    dated = drop_bad_dates(raw_chart(spark, d), "Date").select("Artists", "Song Title", "Streams")
+    named = computed_once(dated, artist=primary_artist(tidy(F.col("Artists"))), song=tidy(F.col("Song Title")))
     return drop_empty_keys(named, "artist", "song")
 
 
