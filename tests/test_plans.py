@@ -229,3 +229,12 @@ def test_all_families_forecast_the_same_weeks(spark):
 
 def test_registered_names():
     assert len(entry.queries()) >= 130
+
+
+def test_model_dataset_reads_the_chart_once(spark):
+    plan = model_dataset_of(spark)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem" not in plan and "l_orderkey" not in plan  # below what is stored
+
+
+def model_dataset_of(spark):
+    return entry.queries()["model_dataset"](spark, SMALL)

@@ -19,6 +19,7 @@ from weekloom.operators.joins import fact_dim_left
 from weekloom.operators.reshape import label_names, one_hot_single
 from weekloom.operators.rows import keep_first, positive_metric
 from weekloom.operators.windows import MODEL_LAGS, MODEL_ROLLS, add_time_series_features
+from weekloom.session import stored
 
 SERIES = ["artist", "song"]
 METRIC = "spotify_streams"
@@ -67,4 +68,7 @@ def clean_features(df: DataFrame) -> DataFrame:
 
 
 def model_dataset(weekly: DataFrame, features: DataFrame) -> DataFrame:
+    """Both tables are stored first: record types and column choices read them again,
+    and the raw rows below them are cleaned and enriched once."""
+    weekly, features = stored(weekly, "weekly"), stored(features, "features")
     return clean_features(weekly_with_features(weekly, features))
