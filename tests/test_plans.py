@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.conftest import SMALL
-from weekloom.operators.aggregates import best_per_group_composite, best_per_group_row, genre_weekly_sum_of_facts
+from weekloom.operators.aggregates import best_per_group_composite, best_per_group_row, genre_weekly_sum_of_facts, joined_copies
 from weekloom.operators.joins import join_by_clean_key_left, join_by_id_left, pending_anti
 from weekloom.operators.reshape import one_hot_multilabel, upsert_by_key
 from weekloom.operators.rows import cutoff_from_model, keep_first
@@ -231,6 +231,21 @@ def test_registered_names():
     assert len(entry.queries()) >= 130
 
 
+def test_rows_without_a_key_are_spread(spark):
+    rows = [(None, f"t{i % 4}") for i in range(4000)] + [(1, "t0"), (2, "t1")]
+    left = spark.createDataFrame(rows, "id int, track string").repartition(8)
+    side = spark.createDataFrame([(1,), (1,), (None,), (3,)], "id bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = joined_copies(left, [(side, ["id"])]).withColumn("p", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted((r.id, r.track, r.n_copies) for r in made if r.id) == [(1, "t0", 2), (2, "t1", 1)]
+    assert sum(r.id is None and r.n_copies == 1 for r in made) == 4000
+    plan = joined_copies(left, [(side, ["id"])])._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan
+
+
 def test_model_dataset_reads_the_chart_once(spark):
     plan = model_dataset_of(spark)._jdf.queryExecution().optimizedPlan().toString()
     assert "lineitem" not in plan and "l_orderkey" not in plan  # below what is stored

@@ -74,13 +74,19 @@ def tag_frequency(df: DataFrame, tags: str) -> DataFrame:
 def joined_copies(left: DataFrame, sides: list[tuple[DataFrame, list[str]]], name: str = "n_copies") -> DataFrame:
     """``left`` with the number of rows that each of its rows becomes when every side is
     left-joined on its columns (named alike on both): rows per key multiplied, a key
-    that the side lacks counting once.  No joined row is formed, and the copies of a
-    side meet as counts."""
+    that the side lacks counting once.  No joined row is formed, the copies of a
+    side meet as counts, and rows without a key are spread over all tasks (by all
+    columns of ``left``: give it only those that are needed)."""
+    from weekloom.operators.joins import spread_null_key
+
     made, parts = left, []
     for i, (side, on) in enumerate(sides):
         part = f"_copies_{i}"
+        keys = [f"_on_{k}" for k in range(len(on))]
         counts = side.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias(part))
-        made, parts = made.join(counts, on, "left"), [*parts, part]
+        counts = counts.select(*[F.col(c).cast("string").alias(k) for c, k in zip(on, keys, strict=True)], part)
+        keyed = made.withColumns({k: spread_null_key(F.col(c), left.columns) for c, k in zip(on, keys, strict=True)})
+        made, parts = keyed.join(counts, keys, "left").drop(*keys), [*parts, part]
     product = F.lit(1).cast("bigint")
     for part in parts:
         product = product * F.coalesce(part, F.lit(1))

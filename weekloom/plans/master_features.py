@@ -29,15 +29,16 @@ TAG_NUMBERS = ("lastfm_listeners", "lastfm_playcount", "lastfm_duration_ms")
 
 
 def _counted_base(base: DataFrame, acoustic: DataFrame | None, albums: DataFrame | None) -> DataFrame:
-    """``base`` with its clean keys and ``_n``, the rows each of its rows becomes when
+    """The clean keys of ``base`` and ``_n``, the rows each of its rows becomes when
     the other sides are joined with all their copies."""
-    keyed, sides = with_clean_keys(base, NAMES), []
-    if acoustic is not None and "mbid" in base.columns:
+    has_id = acoustic is not None and "mbid" in base.columns
+    names = [f"_k_{n}" for n in NAMES]
+    keyed, sides = with_clean_keys(base, NAMES).select(*names, *(["mbid"] if has_id else [])), []
+    if has_id:
         id_col = "mb_recording_id" if "mb_recording_id" in acoustic.columns else "mbid"
         keyed = keyed.withColumn("_id", F.col("mbid").cast("string"))
         sides.append((acoustic.select(F.col(id_col).cast("string").alias("_id")), ["_id"]))
     if albums is not None:
-        names = [f"_k_{n}" for n in NAMES]
         sides.append((with_clean_keys(albums, NAMES).select(*names), names))
     return joined_copies(keyed, sides, "_n")
 

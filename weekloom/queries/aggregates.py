@@ -114,6 +114,7 @@ def _tag_frequency_all_copies(spark, d):
     copies = F.explode(F.array_repeat(F.lit(1), (F.col("p_size") % 4).cast("int")))
     albums = part.select(F.upper("p_brand").alias("artist"), F.upper("p_name").alias("song"), copies.alias("copy")).drop("copy")
     tags = part.select(F.upper("p_brand").alias("artist"), F.upper("p_name").alias("song"), F.split("p_name", " ").alias("tags"))
+    base = base.select("mbid", "artist", "song")
     counted = joined_copies(base, [(acoustic, ["mbid"]), (albums, ["artist", "song"])], "copies")
     return joined_tag_frequency(counted, tags, ["artist", "song"], "tags", "copies")
 
