@@ -6,6 +6,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +92,24 @@ def test_proximity(spark):
     assert found.count() == 2
 
 
+def test_index_is_read_one_segment_at_a_time(spark):
+    rows = [(k, "some words " * 140_000) for k in range(5)]
+    index = build_index(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1))
+    groups = [m.row_group(k).num_rows for f in index.inputFiles() for m in [pq.ParquetFile(f.removeprefix("file://")).metadata] for k in range(m.num_row_groups)]
+    assert len(groups) > 3 and set(groups) == {1}
+    assert index.schema["deltas"].dataType.simpleString() == "binary"
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 1 << 20
+
+
+def test_texts_of_small_batches_go_together():
+    batches = [pa.RecordBatch.from_pydict({"id": [k, k], "text": ["x" * 60, None]}) for k in range(10)]
+    got = list(ragged.gathered(batches, "text", 300))
+    assert [i for part, _ in got for i in part.column(0).to_pylist()] == [k for k in range(10) for _ in "ab"]
+    assert [len(texts.data) for _, texts in got] == [180, 180, 180, 60] and not list(ragged.gathered([], "text"))
+    for values in (np.array([], np.int32), np.array([0, -1, 1 << 30, 7], np.int32), np.arange(300, dtype=np.uint64) << 50):
+        assert (ragged.unpacked(ragged.packed(values), values.dtype) == values).all()
+
+
 @pytest.mark.parametrize("first", [False, True])
 def test_line_dedup(spark, docs, first):
     out = drop_common_lines(docs, keep_first=first, batches=1 if first else 3).collect()

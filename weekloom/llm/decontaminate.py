@@ -2,7 +2,7 @@
 
 The index is a table of segments.  A segment holds the complete postings of some
 whole documents: its distinct terms in order, and for every term the places
-where it stands, coded as differences.  Segments are made, read and searched
+where it stands, coded as differences and compressed.  Segments are made, read and searched
 independently, so the index is spread over as many tasks as there are segments
 and no posting list is ever longer than a segment.
 
@@ -31,14 +31,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.llm import ragged
-from weekloom.llm.scratch import fresh, partitions, written
+from weekloom.llm.scratch import fresh, partitions, small_batches, written
 
 #: Phrases (or proximity queries) up to which every segment looks up all of them; more
 #: are routed to segments.
 BLOCK = 50_000
 
 SEGMENT = (
-    "segment string, ids array<{kind}>, doc_at array<int>, terms array<bigint>, term_at array<int>, deltas array<int>"
+    "segment string, ids array<{kind}>, doc_at array<int>, terms array<bigint>, term_at array<int>, deltas binary"
 )
 
 
@@ -142,31 +142,30 @@ class Segment:
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The segments of ``docs``, written to the shared folder."""
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        made, task = 0, TaskContext.get().partitionId()
-        for batch in batches:
-            for part, texts in ragged.slices(batch, "text"):
-                at, terms, term_at, deltas = Segment.columns(texts)
-                ids = part.column(0)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([f"{task}-{made}"]),
-                        pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                        _lists(at, pa.int32()),
-                        _lists(terms, pa.int64()),
-                        _lists(term_at, pa.int32()),
-                        _lists(deltas, pa.int32()),
-                    ],
-                    ["segment", "ids", "doc_at", "terms", "term_at", "deltas"],
-                )
-                made += 1
-
-    return written(rows.mapInArrow(run, SEGMENT.format(kind=kind)), "index")
+        task = TaskContext.get().partitionId()
+        for made, (part, texts) in enumerate(ragged.gathered(batches, "text")):
+            at, terms, term_at, deltas = Segment.columns(texts)
+            ids = part.column(0)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([f"{task}-{made}"]),
+                    pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                    _lists(at, pa.int32()),
+                    _lists(terms, pa.int64()),
+                    _lists(term_at, pa.int32()),
+                    pa.array([ragged.packed(deltas.astype(np.int32))], pa.binary()),
+                ],
+                ["segment", "ids", "doc_at", "terms", "term_at", "deltas"],
+            )
+
+    return written(rows.mapInArrow(run, SEGMENT.format(kind=kind)), "index", large_rows=True)
 
 
 def phrases_of(items: DataFrame, window: int, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -229,8 +228,10 @@ def _matches(segment: Segment, name: str, keys: pa.Array, terms: np.ndarray, siz
     )
 
 
-def _numbers(batch: pa.RecordBatch, row: int, *names: str) -> list[np.ndarray]:
-    return [batch.column(batch.schema.get_field_index(n))[row].values.to_numpy(zero_copy_only=False) for n in names]
+def _segment(batch: pa.RecordBatch, row: int) -> Segment:
+    doc_at, terms, term_at, deltas = (batch.column(batch.schema.get_field_index(n))[row] for n in _POSTINGS)
+    numbers = (x.values.to_numpy(zero_copy_only=False) for x in (doc_at, terms, term_at))
+    return Segment(*numbers, ragged.unpacked(deltas.as_py(), np.int32))
 
 
 def _search_by_all(index: DataFrame, queries: DataFrame, within: int | None) -> DataFrame:
@@ -242,7 +243,7 @@ def _search_by_all(index: DataFrame, queries: DataFrame, within: int | None) ->
         keys, terms, size = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
-                yield _matches(Segment(*_numbers(batch, i, *_POSTINGS)), batch.column(0)[i].as_py(), keys, terms, size, within)
+                yield _matches(_segment(batch, i), batch.column(0)[i].as_py(), keys, terms, size, within)
 
     return index.select("segment", *_POSTINGS).mapInArrow(run, MATCH)
 
@@ -270,7 +271,7 @@ def _search_by_route(index: DataFrame, queries: DataFrame, within: int | None) -
     here = index.select("segment", F.lit(0).alias("role"), *_POSTINGS, none.cast("string").alias("phrase"))
     asked = _routed(index, queries).select(
         "segment", F.lit(1).alias("role"), none.cast("array<int>").alias("doc_at"), "terms",
-        none.cast("array<int>").alias("term_at"), none.cast("array<int>").alias("deltas"), "phrase",
+        none.cast("array<int>").alias("term_at"), none.cast("binary").alias("deltas"), "phrase",
     )
     dealt = here.unionByName(asked).repartition(partitions(index.sparkSession), "segment").sortWithinPartitions("segment", "role")
 
@@ -282,7 +283,7 @@ def _search_by_route(index: DataFrame, queries: DataFrame, within: int | None) -
             i = 0
             while i < batch.num_rows:
                 if roles[i] == 0:
-                    name, segment = names[i], Segment(*_numbers(batch, i, *_POSTINGS))
+                    name, segment = names[i], _segment(batch, i)
                     i += 1
                     continue
                 end = i
