@@ -20,6 +20,7 @@ from weekloom.llm.line_dedup import LineRuns, drop_common_lines
 from weekloom.llm.mixing import fill, min_cost_flow, mix
 from weekloom.llm.quality_classifier import Training, classify, estimate, pattern_votes
 from weekloom.llm.quality_rules import BASE_FAILED, Risk, binomial_cdf, risk_controlled
+from weekloom.session import stored
 from tests.conftest import SMALL
 from tests.llm.brute import common_lines, contaminated, low, quality_base, words
 
@@ -142,6 +143,24 @@ def test_language_model(spark, docs):
     assert len(score_texts(docs, held_out=F.lit(True)).collect()) == len(ODD)
 
 
+def test_chunks_are_read_one_at_a_time(spark, monkeypatch):
+    from weekloom.llm import language_model
+
+    kept = {}
+
+    def written(df, name, **how):
+        kept[name] = stored(df, name, **how)
+        return kept[name]
+
+    monkeypatch.setattr(language_model, "written", written)
+    docs = spark.createDataFrame([(k, "some words " * 140_000) for k in range(12)], "doc_id bigint, text string").coalesce(1)
+    assert score_texts(docs).count() == 12
+    chunks = kept["chunks"]
+    groups = [m.row_group(k).num_rows for f in chunks.inputFiles() for m in [pq.ParquetFile(f.removeprefix("file://")).metadata] for k in range(m.num_row_groups)]
+    assert len(groups) > 3 and set(groups) == {1}
+    assert {c: chunks.schema[c].dataType.simpleString() for c in language_model.PACKED} == dict.fromkeys(language_model.PACKED, "binary")
+
+
 def test_flow_prefers_few_repeats():
     # pattern 0 is in both sources, pattern 1 only in the second
     assert min_cost_flow([100, 100], [[0, 1], [1]], [100, 100], 2) == [100, 100]
