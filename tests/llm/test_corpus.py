@@ -143,6 +143,61 @@ def test_language_model(spark, docs):
     assert len(score_texts(docs, held_out=F.lit(True)).collect()) == len(ODD)
 
 
+def test_words_depend_on_what_stands_before_them(spark):
+    from weekloom.llm.language_model import FORMS, HEADS, NEAR, SMOOTH, _form, Training
+
+    rng = np.random.default_rng(5)
+    rows = [(k, " ".join(f"w{i}" + "x" * (i % 7) + "é" * (i % 3 < 1) for i in np.minimum(rng.geometric(0.06, 40), 60).tolist())) for k in range(120)]
+    rows += [(200, None), (201, ""), (202, "w1x w1x"), (203, rows[3][1]), (203, rows[3][1]), (None, rows[5][1])]
+    rows += [(300 + k, f"new{k} w1x newer{k} w2xx new{k} another-one") for k in range(40)]
+    held = {d: zlib.crc32(("" if d is None else str(d)).encode()) % 10 == 0 for d, _ in rows}
+    rows = [(d, t) for d, t in rows if held[d] or "new" not in (t or "")]
+    tokens = [(d, [*words(low(t or "")), None]) for d, t in rows]
+
+    def form(w):
+        raw = np.frombuffer((w or "").encode(), np.uint8)
+        return 0 if w is None else int(_form(raw, np.array([0]), np.array([len(raw)]))[0])
+
+    trained = [ws for d, ws in tokens if not held[d]]
+    count = Counter(w for ws in trained for w in ws)
+    (*heads, after_them) = count.most_common(HEADS + 1)
+    assert heads[-1][1] > after_them[1] and len(count) <= NEAR and any(held[d] and set(ws) - set(count) for d, ws in tokens)
+    heads = {w for w, _ in heads}
+    rest = [[c for w, c in count.items() if w not in heads and form(w) == f] for f in range(FORMS)]
+
+    def kind(w):
+        return ("head", w) if w in heads else form(w)
+
+    def before(w):
+        return ("word", w) if w in count else form(w)
+
+    def pairs(ws):
+        return list(zip(ws, ["begin", *map(before, ws[:-1])], strict=True))
+
+    met = Counter(p for ws in trained for p in pairs(ws))
+    after = Counter((kind(w), b) for ws in trained for w, b in pairs(ws))
+
+    def own(w):
+        return 1.0 if w in heads else (count[w] + SMOOTH) / (sum(rest[form(w)]) + SMOOTH * (len(rest[form(w)]) + 1))
+
+    def gain(ws, prior):
+        return sum(math.log10((met[w, b] + prior * own(w)) / (after[kind(w), b] + prior)) - math.log10(own(w)) for w, b in pairs(ws))
+
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5, F.col("text")).cache()
+
+    def scores(prior):
+        return sorted(((r.doc_id or -1, r.n_tokens, r.score) for r in score_texts(docs, how=Training(prior=prior)).collect()))
+
+    want = sorted((d or -1, len(ws), gain(ws, 7.0)) for d, ws in tokens)
+    for a, b, c in zip(scores(7.0), scores(1e15), want, strict=True):
+        assert a[:2] == b[:2] == c[:2] and a[2] - b[2] == pytest.approx(c[2], abs=1e-4)
+    assert max(abs(c[2]) for c in want) > 1
+    # over a class and one unseen word, the words after anything have probability 1
+    for k, b in after:
+        own_of = [(w, own(w)) for w in count if kind(w) == k] + ([] if isinstance(k, tuple) else [(object(), SMOOTH / (sum(rest[k]) + SMOOTH * (len(rest[k]) + 1)))])
+        assert sum((met[w, b] + 7.0 * p) / (after[k, b] + 7.0) for w, p in own_of) == pytest.approx(1)
+
+
 def test_chunks_are_read_one_at_a_time(spark, monkeypatch):
     from weekloom.llm import language_model
 
